@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def padded(number: Column, width: int) -> Column:
-    return F.format_string(f"%0{width}d", number.cast("long"))
+    return F.when(number.isNotNull(), F.format_string(f"%0{width}d", number.cast("long")))
 
 
 def page_count(total: Column, limit: int) -> Column:

@@ -29,6 +29,12 @@ def season_range(
     )
 
 
+def seasons_between(bounds: DataFrame, as_of: str) -> DataFrame:
+    """As ``season_range``, with ``start`` and ``end`` taken from a one-row table."""
+    each = bounds.select(F.explode(F.sequence(F.col("start").cast("int"), F.col("end").cast("int"))).alias("season"))
+    return each.select("season", needs_refresh(F.col("season"), F.lit(int(as_of[:4]))).alias("force_refresh"))
+
+
 def needs_refresh(season: Column, current: Column) -> Column:
     return season == current
 
