@@ -86,10 +86,9 @@ def read_pages(
     declared = ", ".join(f"{c} string" for c in ("value", *spec.partitions, "batch_id"))
     raw = (
         spark.read.schema(declared)
-        .option("wholetext", whole_files)
         .option("basePath", dataset_path(base, spec))
         .option("recursiveFileLookup", "false")
-        .text(dataset_path(base, spec, season))
+        .text(dataset_path(base, spec, season), wholetext=whole_files)
     )
     path = F.col("_metadata.file_path")
     in_name = F.regexp_extract(path, r"page_(\d+)\.json", 1).try_cast("int")
