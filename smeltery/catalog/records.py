@@ -216,10 +216,11 @@ def nested_record_path(t: Tables) -> DataFrame:
         regions.select("page", "r_name", region.alias("record")),
         ["page"], "r_name", F.lit('"RegionTable":{"Regions":['), "]}}}",
     )
-    found = pages.select(F.explode(records_of(F.parse_json("value"), SUPPLIERS)).alias("e"))
+    parsed = pages.select(F.parse_json("value").alias("document"))
+    found = parsed.select(F.explode(F.expr(records_of("document", SUPPLIERS))).alias("e"))
     return found.select(
-        inherited_key(F.col("e"), SUPPLIERS, "region").alias("region"),
-        inherited_key(F.col("e"), SUPPLIERS, "nation").alias("nation"),
+        F.expr(inherited_key("e", SUPPLIERS, "region")).alias("region"),
+        F.expr(inherited_key("e", SUPPLIERS, "nation")).alias("nation"),
         F.try_variant_get("e.record", "$.key", "long").alias("key"),
         F.try_variant_get("e.record", "$.name", "string").alias("name"),
     )

@@ -30,7 +30,7 @@ SELECT event_id, CAST(CASE WHEN event_id % 16 IN (0,1,2,3,4,7,8) THEN event_id
   WHEN event_id % 16 = 5 THEN event_id * 10 WHEN event_id % 16 = 10 THEN 1 END AS BIGINT) AS as_int
 FROM events""")
 def lax_int(t: Tables) -> DataFrame:
-    return _spelled(t).select("event_id", coerce.lax_int(F.col("v")).alias("as_int"))
+    return _spelled(t).select("event_id", F.expr(coerce.lax_int("v")).alias("as_int"))
 
 
 @query("""
@@ -39,14 +39,14 @@ SELECT event_id, CAST(CASE WHEN event_id % 16 IN (0,1,2,3,4,7,8) THEN event_id
   WHEN event_id % 16 = 10 THEN 1 WHEN event_id % 16 = 12 THEN event_id * 1000 END AS DOUBLE) AS as_float
 FROM events""")
 def lax_float(t: Tables) -> DataFrame:
-    return _spelled(t).select("event_id", coerce.lax_float(F.col("v")).alias("as_float"))
+    return _spelled(t).select("event_id", F.expr(coerce.lax_float("v")).alias("as_float"))
 
 
 @query(f"""
 SELECT event_id, CASE WHEN event_id % 16 IN (7,8,9,10,15) THEN NULL ELSE trim(j, '"') END AS as_str
 FROM (SELECT event_id, {_SPELLINGS} AS j FROM events)""")
 def strict_str(t: Tables) -> DataFrame:
-    return _spelled(t).select("event_id", coerce.strict_str(F.col("v")).alias("as_str"))
+    return _spelled(t).select("event_id", F.expr(coerce.strict_str("v")).alias("as_str"))
 
 
 _NAMES = """CASE p_partkey % 6 WHEN 0 THEN upper(p_name) WHEN 1 THEN '  ' || replace(p_name, ' ', '-') || ' '
@@ -60,7 +60,7 @@ SELECT p_partkey, CASE WHEN raw = '' THEN '' ELSE trim(list_aggregate(list_trans
 FROM (SELECT p_partkey, {_NAMES} AS raw FROM part)""")
 def clean_str(t: Tables) -> DataFrame:
     raw = t.part.select("p_partkey", F.expr(_NAMES.replace("''''", "\"'\"")).alias("raw"))
-    return raw.select("p_partkey", coerce.clean_str(F.col("raw")).alias("name"))
+    return raw.select("p_partkey", F.expr(coerce.clean_str("raw")).alias("name"))
 
 
 @query("""

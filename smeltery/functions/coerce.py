@@ -1,13 +1,13 @@
 """Lenient scalar coercion of JSON values, and typed parsing of the texts kept in Silver.
 
-The ``lax_*`` functions take a VARIANT and give NULL for a value the type does not accept; whether
-NULL is then an error is decided by the validator, which also knows if the field was present.
+The JSON coercions are SQL expression templates: each takes the SQL of a VARIANT and gives the SQL
+of the value, NULL where the type does not accept it (whether that is an error is for the
+validator, which also knows if the field was there). A dataset has hundreds of such expressions;
+as text the engine parses them in one go, where building them call by call takes seconds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,84 +25,54 @@ EXTRA_TIMESTAMP_FORMATS = (
 )
 DURATION_TEXT = r"^\s*(\d+:){0,2}\d+(\.\d+)?\s*$"
 BLANKS = r"[\s\x1c-\x1f]"
+CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body`` (lambdas share no work)."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def int_from_text(text: Column) -> Column:
-    digits = F.regexp_replace(F.regexp_replace(text, r"[\s_]", ""), r"\.0+$", "")
-    return F.when(text.rlike(INT_TEXT), digits.try_cast("long"))
-
-
-def float_from_text(text: Column) -> Column:
-    return F.when(text.rlike(FLOAT_TEXT), F.regexp_replace(text, r"[\s_]", "").try_cast("double"))
+def let(value: str, name: str, body: str) -> str:
+    """SQL that evaluates ``value`` once and uses it as ``name`` in ``body``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _boolean_digit(value: Column, ddl: str) -> Column:
-    # The JSON string "true" is no boolean, so the text alone does not decide.
-    return F.when(F.schema_of_variant(value) == "BOOLEAN", value.try_cast("int").cast(ddl))
-
-
-def lax_int(value: Column) -> Column:
+def lax_int(value: str) -> str:
     """Whole number from a JSON string, number or boolean.
 
-    Plain digits, by far the most, take the first branch; the casts of the later ones only run
-    for values it gave up on.
+    Plain digits, by far the most, take the first branch; the others only run for what it gave up.
     """
-    kind = F.schema_of_variant(value)
-    number = value.try_cast("double")
-    whole = F.when(
-        kind.startswith("D") & (number == F.floor(number)) & (F.abs(number) < 2.0**63),
-        number.try_cast("long"),
-    )
-    return F.when(
-        value.isNotNull(),
-        F.coalesce(
-            F.when(kind.isin("STRING", "BIGINT"), value.try_cast("long")),
-            F.when(kind == "STRING", int_from_text(value.try_cast("string"))),
-            _boolean_digit(value, "long"),
-            whole,
-        ),
-    )
-
-
-def lax_float(value: Column) -> Column:
+    kind = f"schema_of_variant({value})"
+    number = f"try_cast({value} AS DOUBLE)"
+    # Spellings are checked before the cast: one that fails raises and catches inside, which costs
+    # more than all the rest.
+    digits = r"regexp_replace(regexp_replace(_n, r'[\s_]', ''), r'\.0+$', '')"
+    from_text = rf"""CASE WHEN _n RLIKE r'^[+-]?\d{{1,18}}$' THEN CAST(_n AS BIGINT)
+        WHEN _n RLIKE r'{INT_TEXT}' THEN try_cast({digits} AS BIGINT) END"""
+    return f"""CASE {kind} WHEN 'STRING' THEN {let(f"try_cast({value} AS STRING)", "_n", from_text)}
+        WHEN 'BIGINT' THEN CAST({value} AS BIGINT)
+        WHEN 'BOOLEAN' THEN CAST(CAST({value} AS INT) AS BIGINT)
+        ELSE CASE WHEN startswith({kind}, 'D') AND {number} = floor({number}) AND abs({number}) < pow(2D, 63D)
+            THEN CAST({number} AS BIGINT) END END"""
+
+
+def lax_float(value: str) -> str:
     """Number from a JSON string, number or boolean."""
-    kind = F.schema_of_variant(value)
-    return F.when(
-        value.isNotNull(),
-        F.coalesce(
-            F.when(kind == "STRING", float_from_text(value.try_cast("string"))),
-            F.when((kind == "BIGINT") | kind.startswith("D"), value.try_cast("double")),
-            _boolean_digit(value, "double"),
-        ),
-    )
+    kind = f"schema_of_variant({value})"
+    from_text = rf"CASE WHEN _n RLIKE r'{FLOAT_TEXT}' THEN try_cast(regexp_replace(_n, r'[\s_]', '') AS DOUBLE) END"
+    return f"""CASE {kind} WHEN 'STRING' THEN {let(f"try_cast({value} AS STRING)", "_n", from_text)}
+        WHEN 'BIGINT' THEN CAST({value} AS DOUBLE)
+        WHEN 'BOOLEAN' THEN CAST(CAST({value} AS INT) AS DOUBLE)
+        ELSE CASE WHEN startswith({kind}, 'D') THEN CAST({value} AS DOUBLE) END END"""
 
 
-def strict_str(value: Column) -> Column:
+def strict_str(value: str) -> str:
     """Only a JSON string is a string; the empty one counts."""
-    return F.when(F.schema_of_variant(value) == "STRING", value.try_cast("string"))
+    return f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN try_cast({value} AS STRING) END"
 
 
-def clean_str(text: Column) -> Column:
+def clean_str(text: str) -> str:
     """Title-case every run of cased letters, then strip; NULL and '' pass through."""
-    return F.when(text.rlike("^([A-Z][a-z]*)?$"), text).otherwise(_title_case(text))
-
-
-def _title_case(text: Column) -> Column:
-    runs = F.regexp_extract_all(
-        text,
-        F.lit(r"([\p{IsUppercase}\p{IsLowercase}\p{Lt}]+|[^\p{IsUppercase}\p{IsLowercase}\p{Lt}]+)"),
-        F.lit(0),
-    )
-    titled = F.transform(
-        runs,
-        lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(run.substr(F.lit(2), F.length(run)))),
-    )
-    return F.regexp_replace(F.array_join(titled, ""), f"(?U)^{BLANKS}+|{BLANKS}+$", "")
+    runs = f"regexp_extract_all(_s, r'([{CASED}]+|[^{CASED}]+)', 0)"
+    titled = f"transform({runs}, _w -> concat(upper(substr(_w, 1, 1)), lower(substr(_w, 2))))"
+    stripped = f"regexp_replace(array_join({titled}, ''), r'(?U)^{BLANKS}+|{BLANKS}+$', '')"
+    return let(text, "_s", f"CASE WHEN _s RLIKE '^([A-Z][a-z]*)?$' THEN _s ELSE {stripped} END")
 
 
 def null_if_blank(text: Column) -> Column:

@@ -19,15 +19,6 @@ def json_array(document: Column, *path: str) -> Column:
     return F.from_json(json_string(document, *path), "array<string>")
 
 
-def response_root(document: Column) -> Column:
-    """``data.MRData`` of an enveloped page, ``MRData`` of a bare response, else the document."""
-    return F.coalesce(
-        F.try_variant_get(document, "$.data.MRData", "variant"),
-        F.try_variant_get(document, "$.MRData", "variant"),
-        document,
-    )
-
-
 # Braces and list openings of a JSON text whose strings were blanked; a list opening only counts
 # when something follows it, and keeps what follows out of the match.
 _STRING = r'"(?:[^"\\]|\\.)*"'

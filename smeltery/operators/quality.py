@@ -33,10 +33,10 @@ def page_payloads(pages: DataFrame, spec: Dataset, body: str = "value") -> DataF
     total = F.coalesce(
         F.get_json_object(body, "$.data.MRData.total"), F.get_json_object(body, "$.MRData.total")
     )
-    measured = pages.select(
+    measured = pages.withColumn("_document", F.try_parse_json(body)).select(
         *[c for c in pages.columns if c != body],
         F.coalesce(total.try_cast("long"), F.lit(0)).alias("reported"),
-        leaf_items(F.try_parse_json(body), spec).cast("long").alias("items"),
+        F.expr(leaf_items("_document", spec)).cast("long").alias("items"),
         # The text is only searched for other lists where the record list is empty.
         response.alias("_response"),
     )

@@ -6,14 +6,11 @@ no shuffle, and a source with many pages is spread over tasks like any other.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions.coerce import let
-from smeltery.operators.extract import VARIANTS, inherited_key, records_of
+from smeltery.operators.extract import inherited_key, records_of
 from smeltery.sources.models import SCALARS, Dataset, Field, ListOf, Model
 
 # Fixed values of the threshold gate.
@@ -22,108 +19,94 @@ SMALL_PAGE = 5
 SAMPLE_SIZE = 3
 
 ERRORS = "array<string>"
+NO_ERRORS = f"CAST(array() AS {ERRORS})"
 
 
-def _taken_apart(model: Model, record: Column) -> Column:
+def _taken_apart(model: Model, record: str) -> str:
     """The object as structs of JSON values, one per spelling: JSON names, then output names."""
     json = ",".join(f"`{f.json_names[0]}`:variant" for f in model.fields)
     plain = ",".join(f"`{f.name}`:variant" for f in model.fields if len(f.json_names) > 1)
-    parts = [record.try_cast(f"struct<{json}>").alias("json")]
+    parts = f"'json', try_cast({record} AS struct<{json}>)"
     if plain:
-        parts.append(record.try_cast(f"struct<{plain}>").alias("plain"))
-    return F.struct(*parts)
+        parts += f", 'plain', try_cast({record} AS struct<{plain}>)"
+    return f"named_struct({parts})"
 
 
-def _raw(field: Field, raw: Column) -> Column:
-    found = raw["json"][field.json_names[0]]
-    return found if len(field.json_names) == 1 else F.coalesce(found, raw["plain"][field.name])
+def _raw(field: Field, raw: str) -> str:
+    found = f"{raw}.json.`{field.json_names[0]}`"
+    return found if len(field.json_names) == 1 else f"coalesce({found}, {raw}.plain.`{field.name}`)"
 
 
-def _typed(field: Field, raw: Column, where: str) -> Column:
+def _typed(field: Field, raw: str, where: str, depth: int) -> str:
     """A scalar's value, or ``struct<value, errors>`` of an object or of a list of objects."""
     value = _raw(field, raw)
     if isinstance(field.kind, Model):
-        return F.when(value.isNotNull() & ~F.is_variant_null(value), checked(field.kind, value, where))
+        inner = checked(field.kind, value, where, depth + 1)
+        return f"CASE WHEN {value} IS NOT NULL AND NOT is_variant_null({value}) THEN {inner} END"
     if isinstance(field.kind, ListOf):
-
-        def collect(items: Column) -> Column:
-            values = F.transform(items, lambda item: item["value"])
-            errors = F.flatten(F.transform(items, lambda item: item["errors"]))
-            return F.struct(values.alias("value"), errors.alias("errors"))
-
-        elements = value.try_cast(VARIANTS)
-        items = F.transform(elements, lambda e: checked(field.kind.item, e, where))
-        return F.when(elements.isNotNull(), let(items, collect))
-    coerce = SCALARS[field.kind][1](value)
-    return field.normalise(coerce) if field.normalise else coerce
+        element, items = f"_x{depth}", f"_i{depth}"
+        each = f"transform(try_cast({value} AS array<variant>), {element} -> {checked(field.kind.item, element, where, depth + 1)})"
+        gathered = (
+            f"named_struct('value', transform({items}, _v -> _v.value), "
+            f"'errors', flatten(transform({items}, _v -> _v.errors)))"
+        )
+        return f"CASE WHEN try_cast({value} AS array<variant>) IS NOT NULL THEN {let(each, items, gathered)} END"
+    coerced = SCALARS[field.kind][1](value)
+    return field.normalise(coerced) if field.normalise else coerced
 
 
-def _fault(field: Field, raw: Column, typed: Column, where: str) -> Column:
+def _fault(field: Field, raw: str, typed: str, where: str) -> str:
     """All errors of one field; only worked out for records that have any."""
-    value, own = _raw(field, raw), typed[field.name]
-    nothing = F.array().cast(ERRORS)
-    absent = nothing if field.optional else F.array(F.lit(f"{where}: missing"))
-    null = nothing if field.optional else F.array(F.lit(f"{where}: null"))
-    kind = "list" if isinstance(field.kind, ListOf) else field.kind
+    value, own = _raw(field, raw), f"{typed}.`{field.name}`"
+    absent = NO_ERRORS if field.optional else f"array('{where}: missing')"
+    null = NO_ERRORS if field.optional else f"array('{where}: null')"
     if isinstance(field.kind, Model):
-        rest = own["errors"]
+        rest = f"{own}.errors"
+    elif isinstance(field.kind, ListOf):
+        rest = f"CASE WHEN {own} IS NULL THEN array('{where}: not list') ELSE {own}.errors END"
     else:
-        wrong = F.when(own.isNull(), F.array(F.lit(f"{where}: not {kind}")))
-        rest = wrong.otherwise(own["errors"] if kind == "list" else nothing)
-    return F.when(value.isNull(), absent).when(F.is_variant_null(value), null).otherwise(rest)
+        rest = f"CASE WHEN {own} IS NULL THEN array('{where}: not {field.kind}') ELSE {NO_ERRORS} END"
+    return f"CASE WHEN {value} IS NULL THEN {absent} WHEN is_variant_null({value}) THEN {null} ELSE {rest} END"
 
 
-def _fits(field: Field, raw: Column, typed: Column) -> Column:
-    own = typed[field.name]
-    good = own.isNotNull()
+def _fits(field: Field, raw: str, typed: str) -> str:
+    own = f"{typed}.`{field.name}`"
+    good = f"{own} IS NOT NULL"
     if not isinstance(field.kind, str):
-        good = good & (F.size(own["errors"]) == 0)
+        good = f"coalesce(size({own}.errors) = 0, false)"
     if field.optional:
         value = _raw(field, raw)
-        return F.coalesce(good, F.lit(False)) | value.isNull() | F.is_variant_null(value)
-    return F.coalesce(good, F.lit(False))
+        return f"({good} OR {value} IS NULL OR is_variant_null({value}))"
+    return good
 
 
-def checked(model: Model, record: Column, prefix: str = "") -> Column:
-    """``struct<value, errors>`` of one JSON object: every field typed, every fault listed.
+def checked(model: Model, record: str, prefix: str = "", depth: int = 0) -> str:
+    """SQL of ``struct<value, errors>`` of one JSON object: every field typed, every fault listed.
 
     The object is taken apart once, into a struct of JSON values; the fields are then typed from
     that struct, and errors are spelled out only where a field does not fit.
     """
+    raw, typed = f"_j{depth}", f"_t{depth}"
     places = {f.name: f"{prefix}.{f.name}" if prefix else f.name for f in model.fields}
+    fields = ", ".join(f"'{f.name}', {_typed(f, raw, places[f.name], depth)}" for f in model.fields)
+    value = ", ".join(
+        f"'{f.name}', {typed}.`{f.name}`" + ("" if isinstance(f.kind, str) else ".value") for f in model.fields
+    )
+    fits = " AND ".join(_fits(f, raw, typed) for f in model.fields)
+    faults = ", ".join(_fault(f, raw, typed, places[f.name]) for f in model.fields)
+    judged = (
+        f"named_struct('value', named_struct({value}), "
+        f"'errors', CASE WHEN {fits} THEN {NO_ERRORS} ELSE flatten(array({faults})) END)"
+    )
+    return let(_taken_apart(model, record), raw, let(f"named_struct({fields})", typed, judged))
 
-    def judge(raw: Column) -> Column:
-        def gather(typed: Column) -> Column:
-            value = F.struct(
-                *(
-                    (typed[f.name] if isinstance(f.kind, str) else typed[f.name]["value"]).alias(f.name)
-                    for f in model.fields
-                )
-            )
-            fits = reduce(and_, (_fits(f, raw, typed) for f in model.fields))
-            faults = F.flatten(F.array(*(_fault(f, raw, typed, places[f.name]) for f in model.fields)))
-            errors = F.when(fits, F.array().cast(ERRORS)).otherwise(faults)
-            return F.struct(value.alias("value"), errors.alias("errors"))
-
-        return let(F.struct(*(_typed(f, raw, places[f.name]).alias(f.name) for f in model.fields)), gather)
-
-    return let(_taken_apart(model, record), judge)
-
-
-def _check_all(records: Column, spec: Dataset) -> Column:
-    def one(entry: Column, index: Column) -> Column:
-        inherited = [inherited_key(entry, spec, f.name).alias(f.name) for f in spec.inherited]
-        return let(
-            checked(spec.model, entry["record"]),
-            lambda c: F.struct(
-                index.alias("index"),
-                *([F.struct(*inherited).alias("above")] if inherited else []),
-                c["value"].alias("value"),
-                c["errors"].alias("errors"),
-            ),
-        )
 
-    return F.transform(records, one)
+def _check_all(document: str, spec: Dataset) -> str:
+    """SQL of the page's checked records, in document order."""
+    keys = ", ".join(f"'{f.name}', {inherited_key('_n', spec, f.name)}" for f in spec.inherited)
+    above = f"'above', named_struct({keys}), " if keys else ""
+    judged = f"named_struct('index', _p, {above}'value', _c.value, 'errors', _c.errors)"
+    return f"transform({records_of(document, spec)}, (_n, _p) -> {let(checked(spec.model, '_n.record'), '_c', judged)})"
 
 
 def judge_pages(
@@ -135,7 +118,7 @@ def judge_pages(
     or any in a small page); ``no_rows`` (nothing valid is left); ``invalid_json``.
     """
     parsed = pages.withColumn("_document", F.try_parse_json(body))
-    checked_pages = parsed.withColumn("checked", _check_all(records_of(F.col("_document"), spec), spec))
+    checked_pages = parsed.withColumn("checked", F.expr(_check_all("_document", spec)))
     counted = checked_pages.withColumn(
         "total", F.coalesce(F.size("checked"), F.lit(0)).cast("long")
     ).withColumn(

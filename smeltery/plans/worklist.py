@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.functions.documents import response_root
 from smeltery.functions.keys import object_key, page_count, request_path
-from smeltery.operators.extract import VARIANTS
+from smeltery.operators.extract import list_at, response_root
 from smeltery.sources.registry import DATASETS, DEFAULT_LIMIT, FIRST_SEASON, RACES, SOURCE, catalog
 
 SPRINT = "sprint"
@@ -41,10 +40,9 @@ def needs_refresh(season: Column, current: Column) -> Column:
 
 def calendar(race_pages: DataFrame, body: str = "value") -> DataFrame:
     """Season, round and sprint flag of every race on the calendar pages."""
-    races = F.try_variant_get(
-        response_root(F.try_parse_json(body)), f"$.{RACES}", "variant"
-    ).try_cast(VARIANTS)
-    each = race_pages.select(F.explode(races).alias("race"))
+    parsed = race_pages.select(F.try_parse_json(body).alias("_document"))
+    races = list_at(response_root("_document"), RACES)
+    each = parsed.select(F.explode(F.expr(races)).alias("race"))
     return each.select(
         F.try_variant_get("race", "$.season", "int").alias("season"),
         F.try_variant_get("race", "$.round", "int").alias("round"),

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-
 from smeltery.functions.coerce import clean_str, lax_float, lax_int, strict_str
 
-# name of a scalar type -> (Spark type, coercion of a VARIANT)
-SCALARS: dict[str, tuple[str, Callable[[Column], Column]]] = {
+# name of a scalar type -> (Spark type, SQL template of its coercion from a VARIANT)
+SCALARS: dict[str, tuple[str, Callable[[str], str]]] = {
     "int": ("bigint", lax_int),
     "float": ("double", lax_float),
     "str": ("string", strict_str),
@@ -43,13 +41,16 @@ class ListOf:
 
 @dataclass(frozen=True)
 class Field:
-    """One field: output name, kind, JSON name, whether it may be absent, and a normaliser."""
+    """One field: output name, kind, JSON name, whether it may be absent, and a normaliser.
+
+    The normaliser maps the SQL of a typed value to the SQL of the cleaned one.
+    """
 
     name: str
     kind: str | Model | ListOf
     alias: str | None = None
     optional: bool = False
-    normalise: Callable[[Column], Column] | None = None
+    normalise: Callable[[str], str] | None = None
 
     @property
     def json_names(self) -> tuple[str, ...]:

@@ -45,8 +45,9 @@ MATRIX = {
 
 def test_matrix(spark):
     frame = spark.createDataFrame([(j,) for j in MATRIX], "j string")
-    v = F.parse_json("j")
-    rows = frame.select("j", lax_int(v).alias("i"), lax_float(v).alias("f"), strict_str(v).alias("s")).collect()
+    parsed = frame.select("j", F.parse_json("j").alias("v"))
+    exprs = (lax_int("v"), lax_float("v"), strict_str("v"))
+    rows = parsed.select("j", *(F.expr(e).alias(n) for e, n in zip(exprs, "ifs", strict=True))).collect()
     found = {r.j: (r.i, r.f, r.s) for r in rows}
     for text, expected in MATRIX.items():
         assert repr(found[text]) == repr(expected), text
@@ -56,16 +57,20 @@ def one(spark, expression, value):
     return spark.createDataFrame([(value,)], "x string").select(expression(F.col("x")).alias("y")).first().y
 
 
+def title(_):
+    return F.expr(clean_str("x"))
+
+
 @pytest.mark.parametrize(
     "raw",
     [" british  ", "MONACO", "saint-denis o'neil 3rd", "côte d'ivoire", "\tmonaco \n", "", "日a b", "Dutch", "ÉCOLE"],
 )
 def test_clean_str_is_title_and_strip(spark, raw):
-    assert one(spark, clean_str, raw) == raw.title().strip()
+    assert one(spark, title, raw) == raw.title().strip()
 
 
 def test_clean_str_keeps_null(spark):
-    assert one(spark, clean_str, None) is None
+    assert one(spark, title, None) is None
 
 
 @pytest.mark.parametrize(
