@@ -45,9 +45,11 @@ def iso(ts: Column) -> Column:
 
 def clock(ms: Column) -> Column:
     """Milliseconds as ``m:ss.SSS``."""
-    return F.format_string(
-        "%d:%02d.%03d", (ms / 60000).cast("long"), (ms % 60000 / 1000).cast("long"), ms % 1000
-    )
+    def digits(number: Column, width: int) -> Column:
+        return F.lpad(number.cast("long").cast("string"), width, "0")
+
+    minutes = (ms / 60000).cast("long").cast("string")
+    return F.concat(minutes, F.lit(":"), digits(ms % 60000 / 1000, 2), F.lit("."), digits(ms % 1000, 3))
 
 
 def json_list(order: Column, record: Column) -> Column:

@@ -90,16 +90,19 @@ def incremental_rounds(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH i AS (SELECT year(o_orderdate)::INT AS season, month(o_orderdate)::INT AS round, count(*) AS total FROM orders GROUP BY ALL)
-SELECT season, round, page, (page - 1) * 10 AS offset
-FROM (SELECT season, round, unnest(generate_series(1, (total + 9) // 10)) AS page FROM i)
+WITH i AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'results' ELSE 'laps' END AS endpoint,
+  year(o_orderdate)::INT AS season, month(o_orderdate)::INT AS round, count(*) AS total FROM orders GROUP BY ALL)
+SELECT endpoint, season, round, page, (page - 1) * 10 AS offset
+FROM (SELECT endpoint, season, round, unnest(generate_series(1, (total + 9) // 10)) AS page FROM i)
 WHERE page <> 1 AND page % 3 <> 0""")
 def resume_batch(t: Tables) -> DataFrame:
     """A batch that broke off: the first and every third page landed, and reported the total."""
     totals = t.orders.groupBy(
-        F.year("o_orderdate").alias("season"), F.month("o_orderdate").alias("round")
+        F.when(F.col("o_orderstatus") == "F", "results").otherwise("laps").alias("endpoint"),
+        F.year("o_orderdate").alias("season"),
+        F.month("o_orderdate").alias("round"),
     ).agg(F.count(F.lit(1)).alias("total"))
-    known = totals.withColumns({"endpoint": F.lit("results"), "batch_id": F.lit("b1"), "paginated": F.lit(True)})
+    known = totals.withColumns({"batch_id": F.lit("b1"), "paginated": F.lit(True)})
     pages = worklist.with_keys(worklist.with_pages(known, 10), F.col("batch_id"))
     landed = pages.where("page = 1 OR page % 3 = 0").withColumnRenamed("total", "api_response_total")
-    return worklist.resume(landed, 10).select("season", "round", "page", "offset")
+    return worklist.resume(landed, 10).select("endpoint", "season", "round", "page", "offset")

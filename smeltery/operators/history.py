@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.operators.ordered import carried_forward, neighbours
+from smeltery.sources.tables import written
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
@@ -23,12 +24,13 @@ def history(
     """Versions of every key: a new one whenever a checked column differs from the row before.
 
     ``at`` orders the snapshots (``tie`` makes the order total) and becomes ``valid_from``; the
-    current version has no ``valid_to``.
+    current version has no ``valid_to``. The changes, few against the snapshots, are written once
+    in between: the second pass then does not run the first one again.
     """
     order = [at, *(tie or [])]
     seen = neighbours(snapshots, keys, order, chunk, check, "_before_")
     changes = seen.where(~F.col("_before_exists") | _differs(check, "_before_"))
-    kept = changes.select(*snapshots.columns)
+    kept = written(changes.select(*snapshots.columns), "changes")
     ended = neighbours(kept, keys, order, chunk, [at], "_after_", forward=True)
     others = [c for c in snapshots.columns if c not in (*keys, at)]
     return ended.select(

@@ -203,9 +203,10 @@ def constructor_season_stats(results: DataFrame, sprints: DataFrame | None = Non
 def fastest_laps_by_circuit(results: DataFrame) -> DataFrame:
     """The quickest lap ever on each circuit; ties go to the earliest, then the driver's name."""
     rank = F.struct("fastest_lap_time", "season", "round", "driver_id")
-    timed = results.where(F.col("fastest_lap_time").isNotNull() & F.col("circuit_id").isNotNull())
-    best = timed.groupBy("circuit_id").agg(F.min(rank).alias("_best"))
-    return best.select(
+    # No filter on the time: where it is computed it would be computed once more for the filter.
+    timed = F.min(F.when(F.col("fastest_lap_time").isNotNull(), rank))
+    best = results.where(F.col("circuit_id").isNotNull()).groupBy("circuit_id").agg(timed.alias("_best"))
+    return best.where(F.col("_best").isNotNull()).select(
         "circuit_id",
         F.col("_best.driver_id").alias("driver_id"),
         F.col("_best.fastest_lap_time").alias("fastest_time"),
