@@ -16,6 +16,7 @@ from smeltery.plans.worklist import still_missing, with_keys
 from smeltery.session import scratch_path
 from smeltery.sources import bronze
 from smeltery.sources.models import Dataset, Level
+from smeltery.sources.registry import SOURCE
 from smeltery.sources.silver import read_parquet_as, read_silver, silver_rows
 from smeltery.sources.tables import as_view
 from smeltery.streaming.intake import append_to, drain, new_files
@@ -52,6 +53,16 @@ def manifest(t: Tables) -> DataFrame:
     )
 
 
+@query(f"""
+SELECT DISTINCT '{SOURCE}/endpoint=' || event_type || '/season=' || weekofyear(ts) || '/round=' ||
+  lpad(day(ts)::VARCHAR, 2, '0') || '/batch_id={BATCH}/page_' || lpad(({_PAGE})::VARCHAR, 3, '0') || '.json' AS object_key
+FROM events WHERE event_type = 'click' AND weekofyear(ts) = 3 ORDER BY 1 LIMIT 25""")
+def listing(t: Tables) -> DataFrame:
+    """The first names of one source and season, as an object store would list them."""
+    names = _landed(t).select(F.col("_file_path").alias("object_key"))
+    return bronze.list_keys(names, f"{SOURCE}/endpoint=click/season=3/", max_keys=25)
+
+
 @query(f"""
 SELECT weekofyear(ts) AS week, event_type, event_id FROM events WHERE weekofyear(ts) = 3""")
 def partition_prune_read(t: Tables) -> DataFrame:

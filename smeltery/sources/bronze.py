@@ -121,6 +121,12 @@ def manifest(pages: DataFrame, spec: Dataset) -> DataFrame:
     )
 
 
+def list_keys(listed: DataFrame, prefix: str = "", max_keys: int | None = None) -> DataFrame:
+    """Object names below a prefix, in name order; at most ``max_keys`` if given."""
+    found = listed.select("object_key").where(F.col("object_key").startswith(prefix))
+    return found if max_keys is None else found.orderBy("object_key").limit(max_keys)
+
+
 def file_inventory(spark: SparkSession, base: str, spec: Dataset, season: int | None = None) -> DataFrame:
     """Size and modification time of the landed files, from the listing; no content is kept."""
     raw = (

@@ -22,3 +22,9 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 def as_view(frame: DataFrame, name: str) -> DataFrame:
     frame.createOrReplaceTempView(name)
     return frame.sparkSession.table(name)
+
+
+def as_table(frame: DataFrame, name: str, path: str) -> DataFrame:
+    """Materialise a frame as a catalog table at a path of its own, replacing what it held."""
+    frame.write.mode("overwrite").option("path", path).saveAsTable(name)
+    return frame.sparkSession.table(name)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltery.functions.keys import object_key, page_count, parquet_key
+from smeltery.operators.audit import run_status
 from smeltery.operators.quality import reconcile, page_payloads
 from smeltery.plans.silver_run import PagesRejectedError, run_silver
 from smeltery.plans.worklist import round_worklist, season_range, still_missing, with_keys, with_pages
@@ -15,6 +16,7 @@ from smeltery.session import scratch_path
 from smeltery.sources.bronze import changed_pages, envelope, file_inventory, land, manifest, read_pages
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import read_silver
+from smeltery.sources.tables import as_table
 from smeltery.streaming.intake import drain, new_pages, refine_into
 from test_pages import DRIVER, SIMPLE, TEAM, drivers
 
@@ -186,6 +188,17 @@ def test_stream_refines_each_page_once(spark, tmp_path):
     assert spark.read.parquet(verdicts).count() == 2
 
 
+def test_table_is_replaced(spark, tmp_path):
+    for n in (3, 2):
+        assert as_table(spark.range(n), "kept", str(tmp_path / "kept")).count() == n
+
+
+def test_run_statuses(spark):
+    frame = spark.createDataFrame([(0, False), (2, False), (0, True)], "errors int, raised boolean")
+    shown = frame.select(run_status(F.col("errors"), F.col("raised")).alias("s")).collect()
+    assert [r.s for r in shown] == ["SUCCESS", "PARTIAL", "FAILED"]
+
+
 def test_scratch_follows_the_session():
     class Session:
         conf = {"spark.checkpoint.dir": "hdfs://shared/tmp/"}
