@@ -21,7 +21,7 @@ FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id
 WHERE before IS DISTINCT FROM event_type""")
 def scd2_history(t: Tables) -> DataFrame:
     events = t.events.select("user_id", "event_type", "event_id", "ts")
-    versions = history(events, ["user_id"], ["event_type"], "ts", F.to_date("ts"), tie=["event_id"])
+    versions = history(events, ["user_id"], ["event_type"], "ts", F.date_trunc("hour", "ts"), tie=["event_id"])
     form = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return versions.withColumns(
         {c: F.date_format(c, form) for c in ("valid_from", "valid_to")}
@@ -62,7 +62,7 @@ SELECT o_orderkey, o_custkey, segment FROM orders LEFT JOIN {_VERSIONS} v ON o_c
 def as_of_join_orders(t: Tables) -> DataFrame:
     facts = t.orders.select("o_orderkey", F.col("o_custkey").alias("cust_key"), "o_orderdate")
     joined = as_of_join(
-        facts, _customer_dimension(t), ["cust_key"], "o_orderdate", ["segment"], "trunc(_at, 'month')"
+        facts, _customer_dimension(t), ["cust_key"], "o_orderdate", ["segment"], "date(_at)"
     )
     return joined.select("o_orderkey", F.col("cust_key").alias("o_custkey"), "segment")
 
