@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SMALL
 from oracle import connect, difference
+from smeltery.catalog import QUERIES
 
-SQL = entry.oracle_sql()
-RUN = entry.queries()
+RUN = {name: q.run for name, q in QUERIES.items()}
+SQL = {name: q.sql for name, q in QUERIES.items() if q.sql is not None}
 # Plans that pair rows without a key, or leave the JVM.
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "Python")
 
@@ -29,5 +30,10 @@ def test_query_matches_sql(spark, con, name):
     assert difference(frame, con, SQL[name]) == ""
 
 
+def test_every_query_is_registered():
+    assert set(RUN) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
