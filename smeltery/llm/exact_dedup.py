@@ -173,10 +173,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .where("copies > 1")
         .select(F.sha2("normal", 256).alias("sha"))
     )
+    # Reduced before the join, so that a group of copies is one row of each task.
     stays = (
-        rows.join(verified, "sha", "left_semi")
-        .groupBy("sha")
+        rows.groupBy("sha")
         .agg(F.max(F.struct("id", "row")).alias("stay"), F.count("*").alias("copies"))
+        .where("copies > 1")
+        .join(verified, "sha", "left_semi")
     )
     single = F.col("stay").isNull()
     return rows.join(stays, "sha", "left").select(
