@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from smeltery.llm import sql
 from smeltery.llm.common import prepared
 from smeltery.llm.exact_dedup import exact_duplicates
 from smeltery.llm.line_dedup import without_repeated_lines
+from smeltery.llm.packing import packed
 from smeltery.llm.pii import BASE, KINDS, personal_data
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -37,6 +39,11 @@ def _of_kind(name: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == name
 
 
+@_query(None)
+def op7_packing(t: Tables) -> DataFrame:
+    return packed(t.documents, path("word_bpe_49k.json"))
+
+
 @_query(sql.pii(KINDS, BASE))
 def op8_pii(t: Tables) -> DataFrame:
     base = {k.name for k in BASE}
