@@ -15,6 +15,7 @@ from smeltery.llm.exact_dedup import exact_duplicates
 from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.packing import packed
 from smeltery.llm.pii import BASE, KINDS, personal_data
+from smeltery.llm.toxicity import toxicity
 
 LLM_QUERIES: dict[str, Query] = {}
 
@@ -68,3 +69,8 @@ def op8_pii(t: Tables) -> DataFrame:
 @_query(sql.EXACT_DEDUP)
 def op9_exact_dedup(t: Tables) -> DataFrame:
     return exact_duplicates(t.documents)
+
+
+@_query(None)
+def op10_toxicity(t: Tables) -> DataFrame:
+    return toxicity(t.documents, t.labels)
