@@ -12,6 +12,7 @@ from smeltery.catalog.registry import Query, Tables
 from smeltery.llm import sql
 from smeltery.llm.common import prepared
 from smeltery.llm.exact_dedup import exact_duplicates
+from smeltery.llm.jaccard_join import jaccard_classes
 from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.packing import packed
 from smeltery.llm.pii import BASE, KINDS, personal_data
@@ -74,3 +75,8 @@ def op9_exact_dedup(t: Tables) -> DataFrame:
 @_query(None)
 def op10_toxicity(t: Tables) -> DataFrame:
     return toxicity(t.documents, t.labels)
+
+
+@_query(None)
+def op4_jaccard_join(t: Tables) -> DataFrame:
+    return jaccard_classes(t.documents)
