@@ -16,6 +16,7 @@ from smeltery.llm.jaccard_join import jaccard_classes
 from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.packing import packed
 from smeltery.llm.pii import BASE, KINDS, personal_data
+from smeltery.llm.topk import nearest
 from smeltery.llm.toxicity import toxicity
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -80,3 +81,8 @@ def op10_toxicity(t: Tables) -> DataFrame:
 @_query(None)
 def op4_jaccard_join(t: Tables) -> DataFrame:
     return jaccard_classes(t.documents)
+
+
+@_query(sql.TOP_K)
+def op1_topk(t: Tables) -> DataFrame:
+    return nearest(t.embeddings, F.col("vec_id") % 50 == 0, 5)
