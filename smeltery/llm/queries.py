@@ -13,6 +13,7 @@ from smeltery.llm import sql
 from smeltery.llm.common import prepared
 from smeltery.llm.exact_dedup import exact_duplicates
 from smeltery.llm.jaccard_join import jaccard_classes
+from smeltery.llm.language import language
 from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.packing import packed
 from smeltery.llm.pii import BASE, KINDS, personal_data
@@ -86,3 +87,8 @@ def op4_jaccard_join(t: Tables) -> DataFrame:
 @_query(sql.TOP_K)
 def op1_topk(t: Tables) -> DataFrame:
     return nearest(t.embeddings, F.col("vec_id") % 50 == 0, 5)
+
+
+@_query(None)
+def op2_language(t: Tables) -> DataFrame:
+    return language(t.documents).withColumn("languages", F.concat_ws(",", "languages"))
