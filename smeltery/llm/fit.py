@@ -9,19 +9,22 @@ import numpy as np
 
 
 class Rows:
-    """Sparse rows, each a list of columns, with a value per entry."""
+    """Sparse rows, each a list of columns, with a value per entry or 1."""
 
     def __init__(self, rows: list[np.ndarray], values: list[np.ndarray] | None = None) -> None:
         self.sizes = np.array([len(r) for r in rows], np.int64)
-        self.columns = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        self.values = np.concatenate(values) if values else np.ones(len(self.columns))
-        self.row = np.repeat(np.arange(len(rows)), self.sizes)
+        self.columns = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+        self.values = np.concatenate(values) if values else None
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), self.sizes)
+
+    def _weighed(self, each: np.ndarray) -> np.ndarray:
+        return each if self.values is None else each * self.values
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.columns] * self.values, len(self.sizes))
+        return np.bincount(self.row, self._weighed(weights[self.columns]), len(self.sizes))
 
     def transposed_times(self, per_row: np.ndarray, width: int) -> np.ndarray:
-        return np.bincount(self.columns, per_row[self.row] * self.values, width)
+        return np.bincount(self.columns, self._weighed(per_row[self.row]), width)
 
 
 def minimise(

@@ -16,7 +16,9 @@ from smeltery.llm.jaccard_join import jaccard_classes
 from smeltery.llm.language import language
 from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.packing import packed
+from smeltery.llm.pieces import decoded, encoded
 from smeltery.llm.pii import BASE, KINDS, personal_data
+from smeltery.llm.quality import quality
 from smeltery.llm.topk import nearest
 from smeltery.llm.toxicity import toxicity
 
@@ -92,3 +94,22 @@ def op1_topk(t: Tables) -> DataFrame:
 @_query(None)
 def op2_language(t: Tables) -> DataFrame:
     return language(t.documents).withColumn("languages", F.concat_ws(",", "languages"))
+
+
+@_query(None)
+def op6_quality(t: Tables) -> DataFrame:
+    """Grades: 0 of bad quality, 1 good but toxic, 2 good and not toxic."""
+    return quality(t.documents, t.labels, F.col("quality") * (2 - F.col("toxic")), levels=3)
+
+
+@_query(None)
+def op5_pieces(t: Tables) -> DataFrame:
+    """Each text encoded with dropout and decoded again: its pieces, and whether the text came back."""
+    model = path("piece_bpe_32k.model")
+    both = decoded(encoded(t.documents.select("doc_id", "text"), model, seed=17), model)
+    return both.select(
+        "doc_id",
+        F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("piece_ids").alias("ids_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
