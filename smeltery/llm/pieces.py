@@ -18,6 +18,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from smeltery.llm.bpe import NONE, PairTable, by_width, merge_rows
 from smeltery.llm.common import mix64, prepared
@@ -226,7 +227,7 @@ def encoded(
                 [*kept, pa.ListArray.from_arrays(offsets, values)], names=[*names, ids_col]
             )
 
-    columns = docs.drop(ids_col).schema.add(ids_col, "array<int>")
+    columns = docs.drop(ids_col).schema.add(ids_col, ArrayType(IntegerType()))
     return source.mapInArrow(run, columns)
 
 
@@ -247,4 +248,4 @@ def decoded(docs: DataFrame, model_path: str, ids_col: str = "piece_ids", text_c
                 [*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, text_col]
             )
 
-    return source.mapInArrow(run, docs.drop(text_col).schema.add(text_col, "string"))
+    return source.mapInArrow(run, docs.drop(text_col).schema.add(text_col, StringType()))
