@@ -53,8 +53,9 @@ def shingles(text: str, size: int = WORDS) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.zeros(0, np.uint64)
-    flat = np.frombuffer(" ".join(words).encode(), np.uint8).astype(np.uint64)
-    starts = np.concatenate(([0], np.flatnonzero(flat == 32) + 1))
+    # Each word with the blank behind it, the last one too, so that a word hashes alike anywhere.
+    flat = np.frombuffer((" ".join(words) + " ").encode(), np.uint8).astype(np.uint64)
+    starts = np.concatenate(([0], np.flatnonzero(flat == 32)[:-1] + 1))
     place = np.arange(len(flat), dtype=np.uint64) - np.repeat(starts, np.diff(np.append(starts, len(flat)))).astype(np.uint64)
     spread = mix64(flat * np.uint64(0x9E3779B97F4A7C15) + place * np.uint64(0xD6E8FEB86659FD93))
     hashed = mix64(np.add.reduceat(spread, starts))
