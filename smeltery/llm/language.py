@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 
 from smeltery.llm.common import prepared, texts
 from smeltery.llm.grams import gram_hashes
+from smeltery.llm.sample import hashed_below, share_of
 
 SIZE = 3
 BITS = 16
 # The documented bound of the training sample: so many texts of each language are expected.
 SAMPLE = 4000
+# Languages learned, the most frequent first; it bounds the model.
+LANGUAGES = 256
 SMOOTH = 0.5
 # Rounds of expectation-maximisation.
 ROUNDS = 12
@@ -138,14 +141,13 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPL
     About ``sample`` texts of each language are used, picked by a hash of the text; the n-gram counts
     of a language are added up by Spark, and what reaches the driver has ``2 ** BITS`` counts for each.
     """
-    spark = prepared(labelled.sparkSession)
+    prepared(labelled.sparkSession)
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
-    sizes = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(sample) / F.count("*")).alias("share"))
-    picked = known.join(sizes, "lang").where(
-        F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
-    )
+    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = {r["lang"]: r["count"] for r in most}
+    picked = known.where(F.col("lang").isin(*counts)).where(hashed_below("text", share_of("lang", counts, sample)))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}

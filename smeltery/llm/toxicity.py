@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from smeltery.llm.common import prepared, texts
 from smeltery.llm.fit import Rows, minimise
 from smeltery.llm.grams import codes, gram_hashes
+from smeltery.llm.sample import labelled_texts
 
 SIZES = (4, 5)
 BITS = 18
 # The documented bound of the training sample: so many labelled rows of each class are expected.
-SAMPLE = 3000
+SAMPLE = 2000
 SMOOTH = 1.0
 PENALTY = 1e-3
 STEPS = 60
@@ -59,10 +60,9 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model(weights, -30.0)
     width = 1 << BITS
-    every = np.concatenate(rows)
-    mark = np.repeat(toxic, [len(r) for r in rows])
-    bad = np.bincount(every[mark], minlength=width).astype(float)
-    good = np.bincount(every[~mark], minlength=width).astype(float)
+    bad, good = np.zeros(width), np.zeros(width)
+    for row, is_toxic in zip(rows, toxic, strict=True):
+        (bad if is_toxic else good)[row] += 1
     ratio = np.log((bad + SMOOTH) / (toxic.sum() + 2 * SMOOTH)) - np.log(
         (good + SMOOTH) / ((~toxic).sum() + 2 * SMOOTH)
     )
@@ -90,21 +90,11 @@ def held_out(id_col: str | Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def train(labelled: DataFrame, text_col: str, label_col: str, sample: int = SAMPLE) -> Model:
-    """Fit on rows of a text and a 0/1 label; rows without either are left out.
-
-    At most about ``sample`` rows of each class are used, picked by a hash of the text, so the
-    same rows are used on every run; the class with fewer rows is used whole.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on ``docs`` (id, text) and ``labels`` (id, label 0 or 1), of which ``sample`` rows of each
+    class are used, picked by a hash of the id; the class with fewer rows is used whole.
     """
-    prepared(labelled.sparkSession)
-    known = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(
-        F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")
-    )
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    share = F.lit(1.0)
-    for label, count in counts.items():
-        share = F.when(F.col("label") == label, F.lit(min(1.0, sample / count))).otherwise(share)
-    picked = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    picked, _ = labelled_texts(docs, labels.where("label IN (0, 1)"), sample)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -151,20 +141,19 @@ def toxicity(
     score of 0.5 on.
 
     A null text counts as empty; an empty text scores by the bias alone. A null id has no label and
-    counts as not held out. Repeated rows are scored alike; repeated labels weigh as often as they
-    join. Without labels of both classes every score is 0. An empty table gives no rows. Only the named columns are
+    counts as not held out. Repeated rows are scored alike; repeated labels are learned once. Without labels of both classes every score is 0. An empty table gives no rows. Only the named columns are
     read. Texts of any length are scored whole.
     """
-    model = train(learnable(docs, labels, id_col, text_col, label_col), "text", "label", sample)
+    model = _learned(docs, labels, id_col, text_col, label_col, sample)
     return scored(docs, model, id_col, text_col).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted"
     )
 
 
-def learnable(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``text, label`` of the labelled documents whose label may be learned."""
+def _learned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> Model:
+    """The model of the labels that may be learned."""
     marks = labels.where(~held_out(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id").select("text", "label")
+    return train(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), marks, sample)
 
 
 def without_toxic(
@@ -172,7 +161,7 @@ def without_toxic(
 ) -> DataFrame:
     """The documents, all columns kept, that are not predicted toxic; nulls as in ``toxicity``."""
     spark = prepared(docs.sparkSession)
-    model = train(learnable(docs, labels, id_col, text_col, label_col), "text", "label")
+    model = _learned(docs, labels, id_col, text_col, label_col, SAMPLE)
     shared = spark.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
