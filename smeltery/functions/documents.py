@@ -21,7 +21,8 @@ def json_array(document: Column, *path: str) -> Column:
 
 # Braces and list openings of a JSON text whose strings were blanked; a list opening only counts
 # when something follows it, and keeps what follows out of the match.
-_STRING = r'"(?:[^"\\]|\\.)*"'
+# Possessive, so that a string of any length is matched in a loop, not by recursion.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _OPENINGS = r"[{}]|\[(?=\s*[^\]\s])"
 
 
