@@ -21,6 +21,7 @@ from smeltery.operators.validate import (
     judge_pages,
     page_verdicts,
     quarantined_records,
+    too_bad,
 )
 from smeltery.sources.silver import silver_rows
 
@@ -66,10 +67,12 @@ SELECT event_type, page, total, bad, bad * 1.0 / total AS error_rate, verdict,
   CASE WHEN bad * 1.0 / total > 0.15 OR (total < 5 AND bad > 0) THEN 'rejected' ELSE 'ok' END AS strict_verdict
 FROM {_VERDICTS.format(0.2)}""".replace("bad * 1.0 / total AS error_rate", "CAST(bad AS DOUBLE) / total AS error_rate"))
 def threshold_verdict(t: Tables) -> DataFrame:
+    """The stricter verdict follows from the counts of the same pass."""
     normal = page_verdicts(_judged(t))
-    strict = page_verdicts(_judged(t, 0.15)).select("kind", "page", F.col("verdict").alias("strict_verdict"))
-    return normal.join(strict, ["kind", "page"]).select(
-        F.col("kind").alias("event_type"), "page", "total", "bad", "error_rate", "verdict", "strict_verdict"
+    total, bad = F.col("total"), F.col("bad")
+    strict = F.when(too_bad(total, bad, 0.15), "rejected").when(bad == total, "no_rows").otherwise("ok")
+    return normal.select(
+        F.col("kind").alias("event_type"), "page", "total", "bad", "error_rate", "verdict", strict.alias("strict_verdict")
     )
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.catalog.frames import BATCH, EVENTS, IS_BAD, event_pages
+from smeltery.catalog.frames import BATCH, EVENTS, IS_BAD, event_pages, event_record
 from smeltery.catalog.checks import _FATES, _PAGE, _VERDICTS, _mixed_pages
 from smeltery.catalog.registry import Tables, query
 from smeltery.operators.dedupe import keep_latest_batches, latest_by_key
 from smeltery.operators.validate import judge_pages
-from smeltery.plans.silver_run import PagesRejectedError, deduplicated, refine
+from smeltery.operators.audit import backfill_summary
+from smeltery.plans.silver_run import PagesRejectedError, deduplicated, refine, run_seasons, run_silver
 from smeltery.plans.staging import staged
 from smeltery.plans.worklist import still_missing, with_keys
 from smeltery.session import scratch_path
@@ -19,7 +20,7 @@ from smeltery.sources.models import Dataset, Level
 from smeltery.sources.registry import SOURCE
 from smeltery.sources.silver import read_parquet_as, read_silver, silver_rows
 from smeltery.sources.tables import as_view
-from smeltery.streaming.intake import append_to, drain, new_files
+from smeltery.streaming.intake import append_to, drain, new_files, new_pages, refine_into, taken_in
 
 # Events as a per-round and as a global dataset, for the two shapes of the layout.
 RACE_EVENTS = Dataset(
@@ -229,3 +230,81 @@ def stream_incremental(t: Tables) -> DataFrame:
         drop.write.mode("append").parquet(source)
         drain(new_files(t.spark, source, columns.schema), checkpoint, append_to(sink))
     return t.spark.read.schema(columns.schema).parquet(sink).select(columns.columns)
+
+
+def _versioned(t: Tables, batch: str, spec: Dataset, dirty: str = "false") -> DataFrame:
+    """Clean pages of one batch, the value raised by one in the second; where ``dirty``, no user."""
+    rows = t.events.withColumn("value", F.col("value") + (1 if batch == "b2" else 0))
+    broken = F.to_json(F.struct(F.col("event_id").alias("eventId")))
+    record = F.when(F.expr(dirty), broken).otherwise(event_record(False))
+    places = {"season": F.weekofyear("ts"), "round_": F.dayofmonth("ts")} if spec.partitions else {}
+    pages = event_pages(rows, record=record, batch=batch, **places)
+    return pages.withColumnsRenamed({"_p_season": "season", "_p_round": "round"})
+
+
+_CLICK_DAY = "bool_or(event_type = 'click') OVER (PARTITION BY weekofyear(ts), day(ts))"
+
+
+@query(f"""
+SELECT 'race_events' AS dataset, week AS season, day AS round, event_id, value + (batch_id = 'b2')::INT AS value, batch_id
+FROM (SELECT weekofyear(ts)::BIGINT AS week, day(ts)::BIGINT AS day, event_id, value,
+    CASE WHEN weekofyear(ts) = 4 AND {_CLICK_DAY} THEN 'b1' WHEN weekofyear(ts) >= 3 THEN 'b2' ELSE 'b1' END AS batch_id
+  FROM events)
+UNION ALL SELECT 'global_events', NULL, NULL, event_id, value, 'b1' FROM events""")
+def season_run(t: Tables) -> DataFrame:
+    """Two runs over a seasonal and a global dataset. The second batch lacks two seasons and has
+    rejected pages in one season and in the global dataset: there the first batch stays."""
+    base, silver = scratch_path(t.spark, "bronze"), scratch_path(t.spark, "silver")
+    specs = [RACE_EVENTS, GLOBAL_EVENTS]
+    for batch in ("b1", "b2"):
+        for spec in specs:
+            bad = "event_type = 'click' AND weekofyear(ts) = 4" if batch == "b2" else "false"
+            pages = _versioned(t, batch, spec, bad)
+            later = pages.where("season >= 3") if batch == "b2" and spec.partitions else pages
+            bronze.land(later, base, spec)
+        run_silver(t.spark, base, silver, None, specs, on_error="continue")
+    # Running one season again touches nothing else.
+    run_silver(t.spark, base, silver, 3, [RACE_EVENTS])
+    both = [
+        read_silver(t.spark, silver, spec)
+        .withColumn("dataset", F.lit(spec.name))
+        .withColumns({k: F.col(k) if k in spec.partitions else F.lit(None).cast("long") for k in ("season", "round")})
+        .select("dataset", "season", "round", "event_id", "value", "batch_id")
+        for spec in specs
+    ]
+    return both[0].unionByName(both[1])
+
+
+@query("""
+WITH s AS (SELECT DISTINCT weekofyear(ts) AS week FROM events WHERE weekofyear(ts) <= 5),
+r AS (SELECT week, CASE WHEN week = 5 THEN 'FAILED' WHEN week % 2 = 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status FROM s)
+SELECT count(*) AS total_seasons, count(*) FILTER (status = 'SUCCESS') AS successful_seasons,
+  count(*) FILTER (status = 'PARTIAL') AS partial_seasons, count(*) FILTER (status = 'FAILED') AS failed_seasons,
+  coalesce(string_agg(week::VARCHAR, ',' ORDER BY week) FILTER (status = 'FAILED'), '') AS failed_season_list
+FROM r""")
+def backfill_run(t: Tables) -> DataFrame:
+    """Seasons run one by one from landed pages: clean, with rejected pages, and with a page that
+    reports records but holds none."""
+    base, silver = scratch_path(t.spark, "bronze"), scratch_path(t.spark, "silver")
+    pages = _versioned(t, "b1", RACE_EVENTS, "weekofyear(ts) % 2 = 0")
+    lost = F.regexp_replace("value", r'"Events":\[.*\]', '"Events":[]')
+    bronze.land(
+        pages.withColumn("value", F.when(F.col("season") == 5, lost).otherwise(F.col("value"))), base, RACE_EVENTS
+    )
+    weeks = [r[0] for r in t.events.select(F.weekofyear("ts")).distinct().where("weekofyear(ts) <= 5").collect()]
+    runs = run_seasons(t.spark, base, silver, sorted(weeks), [RACE_EVENTS])
+    return backfill_summary(runs).withColumn("failed_season_list", F.array_join("failed_season_list", ","))
+
+
+@query(f"""
+SELECT weekofyear(ts)::BIGINT AS season, day(ts)::BIGINT AS round, event_id, value + (weekofyear(ts) >= 3)::INT AS value,
+  CASE WHEN weekofyear(ts) >= 3 THEN 'b2' ELSE 'b1' END AS batch_id FROM events""")
+def stream_bronze(t: Tables) -> DataFrame:
+    """Landed pages taken in by a stream in two drops, seasons and rounds from their folders."""
+    base, silver, audit, progress = (scratch_path(t.spark, n) for n in ("bronze", "taken", "audit", "progress"))
+    for batch in ("b1", "b2"):
+        pages = _versioned(t, batch, RACE_EVENTS)
+        bronze.land(pages.where("season >= 3") if batch == "b2" else pages, base, RACE_EVENTS)
+        stream = new_pages(t.spark, bronze.dataset_path(base, RACE_EVENTS), RACE_EVENTS)
+        drain(stream, progress, refine_into(silver, audit, RACE_EVENTS))
+    return taken_in(t.spark, silver, RACE_EVENTS).select("season", "round", "event_id", "value", "batch_id")

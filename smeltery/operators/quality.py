@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from smeltery.functions.documents import has_items
 from smeltery.operators.extract import leaf_items
+from smeltery.operators.validate import reported_total, response_text
 from smeltery.sources.models import Dataset
 from smeltery.sources.registry import DEFAULT_LIMIT
 
@@ -27,18 +28,12 @@ def page_payloads(pages: DataFrame, spec: Dataset, body: str = "value") -> DataF
     ``corrupt``: records reported, but no list of the response holds anything. ``incomplete``: some
     list does, yet none at the dataset's own path.
     """
-    response = F.coalesce(
-        F.get_json_object(body, "$.data.MRData"), F.get_json_object(body, "$.MRData"), F.col(body)
-    )
-    total = F.coalesce(
-        F.get_json_object(body, "$.data.MRData.total"), F.get_json_object(body, "$.MRData.total")
-    )
     measured = pages.withColumn("_document", F.try_parse_json(body)).select(
         *[c for c in pages.columns if c != body],
-        F.coalesce(total.try_cast("long"), F.lit(0)).alias("reported"),
+        reported_total(body).alias("reported"),
         F.expr(leaf_items("_document", spec)).cast("long").alias("items"),
         # The text is only searched for other lists where the record list is empty.
-        response.alias("_response"),
+        response_text(body).alias("_response"),
     )
     severity = (
         F.when((F.col("reported") <= 0) | (F.col("items") > 0), "ok")

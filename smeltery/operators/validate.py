@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions.coerce import let
+from smeltery.functions.documents import has_items
 from smeltery.operators.extract import inherited_key, records_of
 from smeltery.sources.models import SCALARS, Dataset, Field, ListOf, Model
 
@@ -17,6 +18,8 @@ from smeltery.sources.models import SCALARS, Dataset, Field, ListOf, Model
 ERROR_THRESHOLD = 0.20
 SMALL_PAGE = 5
 SAMPLE_SIZE = 3
+# Records of a page, where its response does not say.
+DEFAULT_LIMIT = 100
 
 ERRORS = "array<string>"
 NO_ERRORS = f"CAST(array() AS {ERRORS})"
@@ -109,15 +112,50 @@ def _check_all(document: str, spec: Dataset) -> str:
     return f"transform({records_of(document, spec)}, (_n, _p) -> {let(checked(spec.model, '_n.record'), '_c', judged)})"
 
 
+def response_text(body: str) -> Column:
+    """The response inside an enveloped page, or a bare one, as JSON text."""
+    return F.coalesce(F.get_json_object(body, "$.data.MRData"), F.get_json_object(body, "$.MRData"), F.col(body))
+
+
+def reported_total(body: str) -> Column:
+    """How many records the response says there are; 0 if it says nothing."""
+    total = F.coalesce(
+        F.get_json_object(body, "$.data.MRData.total"), F.get_json_object(body, "$.MRData.total")
+    )
+    return F.coalesce(total.try_cast("long"), F.lit(0))
+
+
+def page_limit(body: str, default: int) -> Column:
+    """How many records the response says a page holds at most."""
+    limit = F.coalesce(
+        F.get_json_object(body, "$.data.MRData.limit"), F.get_json_object(body, "$.MRData.limit")
+    ).try_cast("long")
+    return F.when(limit > 0, limit).otherwise(default)
+
+
+def too_bad(total: Column, bad: Column, threshold: float) -> Column:
+    """Whether a page has too many bad records, or any if it is small."""
+    return (bad / total > threshold) | ((total < SMALL_PAGE) & (bad > 0))
+
+
 def judge_pages(
-    pages: DataFrame, spec: Dataset, threshold: float = ERROR_THRESHOLD, body: str = "value"
+    pages: DataFrame,
+    spec: Dataset,
+    threshold: float = ERROR_THRESHOLD,
+    body: str = "value",
+    gate: bool = False,
+    limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Replace the JSON text ``body`` by ``checked`` records, ``total``, ``bad`` and ``verdict``.
 
     Verdicts: ``ok``; ``empty`` (no records, nothing to write); ``rejected`` (too many bad records,
-    or any in a small page); ``no_rows`` (nothing valid is left); ``invalid_json``.
+    or any in a small page); ``no_rows`` (nothing valid is left); ``invalid_json``. With ``gate`` a page
+    that reports records but has none is ``incomplete`` if some other list of it holds anything, else
+    ``corrupt``, and the columns ``reported`` and ``per_page`` are added.
     """
     parsed = pages.withColumn("_document", F.try_parse_json(body))
+    if gate:
+        parsed = parsed.withColumns({"reported": reported_total(body), "per_page": page_limit(body, limit)})
     checked_pages = parsed.withColumn("checked", F.expr(_check_all("_document", spec)))
     counted = checked_pages.withColumn(
         "total", F.coalesce(F.size("checked"), F.lit(0)).cast("long")
@@ -126,10 +164,13 @@ def judge_pages(
         F.coalesce(F.size(F.filter("checked", lambda r: F.size(r["errors"]) > 0)), F.lit(0)).cast("long"),
     )
     total, bad = F.col("total"), F.col("bad")
+    verdict = F.when(F.col("_document").isNull(), "invalid_json")
+    if gate:
+        lost = (total == 0) & (F.col("reported") > 0)
+        verdict = verdict.when(lost & has_items(response_text(body)), "incomplete").when(lost, "corrupt")
     verdict = (
-        F.when(F.col("_document").isNull(), "invalid_json")
-        .when(total == 0, "empty")
-        .when((bad / total > threshold) | ((total < SMALL_PAGE) & (bad > 0)), "rejected")
+        verdict.when(total == 0, "empty")
+        .when(too_bad(total, bad, threshold), "rejected")
         .when(bad == total, "no_rows")
         .otherwise("ok")
     )
@@ -144,7 +185,7 @@ def _unpacked(judged: DataFrame, keep: Column, outputs: list[Column], keys: list
 
 
 def page_keys(judged: DataFrame) -> list[str]:
-    return [c for c in judged.columns if c not in ("checked", "total", "bad", "verdict")]
+    return [c for c in judged.columns if c not in ("checked", "total", "bad", "verdict", "reported", "per_page")]
 
 
 def valid_records(judged: DataFrame, spec: Dataset) -> DataFrame:

@@ -1,9 +1,13 @@
-"""Bronze to Silver for the registered datasets."""
+"""Bronze to Silver for the registered datasets.
+
+A run never makes Silver poorer: the batch of a partition is chosen on its pages before any record is
+unpacked, only among complete batches, and a partition without one keeps what Silver has.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 
 from smeltery.operators.audit import failed
 from smeltery.operators.dedupe import keep_latest_batches, latest_by_key
-from smeltery.operators.quality import page_payloads, require_no_corruption
+from smeltery.operators.quality import CorruptPagesError
 from smeltery.operators.validate import (
     ERROR_THRESHOLD,
     judge_pages,
@@ -21,10 +25,12 @@ from smeltery.operators.validate import (
 from smeltery.sources.bronze import dataset_path, read_pages
 from smeltery.sources.models import Dataset
 from smeltery.sources.registry import DATASETS
-from smeltery.sources.silver import silver_rows, write_silver
+from smeltery.sources.silver import present_partitions, silver_rows, write_silver
 from smeltery.sources.tables import written
 
 VERDICTS, QUARANTINE = "_verdicts", "_quarantine"
+# Audit tables are replaced per dataset and season; datasets without seasons use this one.
+NO_SEASON = "none"
 
 
 class PagesRejectedError(RuntimeError):
@@ -38,6 +44,7 @@ class SilverRun:
     silver: str
     failures: dict[str, int]
     skipped: list[str]
+    corrupt: dict[str, int] = field(default_factory=dict)
 
     def verdicts(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.silver}/{VERDICTS}")
@@ -47,10 +54,49 @@ def deduplicated(rows: DataFrame, spec: Dataset) -> DataFrame:
     """Newest batch per season and round, then newest record per natural key."""
     if spec.partitions:
         rows = keep_latest_batches(rows, list(spec.partitions))
-    keys = [k for k in spec.natural_key if k in rows.columns]
+    return newest_records(rows, spec)
+
+
+def newest_records(rows: DataFrame, spec: Dataset) -> DataFrame:
+    """Newest record per natural key; partitions never take rows from each other."""
+    keys = [k for k in dict.fromkeys((*spec.partitions, *spec.natural_key)) if k in rows.columns]
     return latest_by_key(rows, keys, ["batch_id", "page", "_record_index"])
 
 
+def chosen_batches(judged: DataFrame, spec: Dataset, present: DataFrame | None) -> DataFrame:
+    """The batch to take per partition: the newest complete one.
+
+    A batch is complete if no page of it failed and its pages or records add up to what its pages
+    report. Where no batch is complete the newest is taken, but only if Silver (``present``) has
+    nothing of the partition yet.
+    """
+    keys = [f"_p_{k}" for k in spec.partitions]
+    pages = F.count_distinct("page") >= F.ceil(F.max("reported") / F.max("per_page"))
+    batches = judged.groupBy(*keys, "batch_id").agg(
+        ((F.count_if(failed(F.col("verdict"))) == 0) & (pages | (F.sum("total") >= F.max("reported")))).alias("whole")
+    )
+    newest = batches.groupBy(*keys).agg(
+        F.max(F.when(F.col("whole"), F.col("batch_id"))).alias("complete"), F.max("batch_id").alias("any")
+    )
+    if present is None:
+        return newest.select(*keys, F.coalesce("complete", "any").alias("batch_id"))
+    if not keys:
+        return newest.select(F.col("complete").alias("batch_id")).where("batch_id IS NOT NULL")
+    held = present.withColumn("_held", F.lit(True))
+    match = [F.col(f"n.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    joined = newest.alias("n").join(held.alias("h"), match, "left")
+    batch = F.coalesce("n.complete", F.when(F.col("h._held").isNull(), F.col("n.any")))
+    return joined.select(*(f"n.{k}" for k in keys), batch.alias("batch_id")).where("batch_id IS NOT NULL")
+
+
+def of_batches(judged: DataFrame, chosen: DataFrame, spec: Dataset) -> DataFrame:
+    """The pages of the chosen batches."""
+    match = F.col("j.batch_id") == F.col("c.batch_id")
+    for k in spec.partitions:
+        match = match & F.col(f"j._p_{k}").eqNullSafe(F.col(f"c._p_{k}"))
+    return judged.alias("j").join(chosen.alias("c"), match, "left_semi")
+
+
 def refine(
     spark: SparkSession,
     pages: DataFrame,
@@ -60,14 +106,28 @@ def refine(
     dedupe: bool = True,
 ) -> int:
     """Judge the pages of one dataset once, then write rows, quarantine and verdicts from that."""
-    judged = written(judge_pages(pages, spec, threshold), f"judged-{spec.name}")
-    rows = silver_rows(judged, spec)
-    write_silver(deduplicated(rows, spec) if dedupe else rows, silver, spec)
-    endpoint = F.lit(spec.name).alias("endpoint")
+    return _refined(spark, pages, silver, spec, threshold, dedupe)[0]
+
+
+def _refined(
+    spark: SparkSession, pages: DataFrame, silver: str, spec: Dataset, threshold: float, dedupe: bool
+) -> tuple[int, int]:
+    """How many pages failed, and how many of them are corrupt."""
+    judged = written(judge_pages(pages, spec, threshold, gate=True), f"judged-{spec.name}")
+    if dedupe:
+        chosen = written(chosen_batches(judged, spec, present_partitions(spark, silver, spec)), "batches")
+        rows = newest_records(silver_rows(of_batches(judged, chosen, spec), spec), spec)
+    else:
+        rows = silver_rows(judged, spec)
+    write_silver(rows, silver, spec)
+    labels = [F.lit(spec.name).alias("endpoint"), F.coalesce(F.col("_p_season").cast("string"), F.lit(NO_SEASON)).alias("season")]
     for frame, name in ((page_verdicts(judged), VERDICTS), (quarantined_records(judged), QUARANTINE)):
-        target = frame.select(endpoint, "*").write.mode("overwrite").partitionBy("endpoint")
+        target = frame.select(*labels, "*").write.mode("overwrite").partitionBy("endpoint", "season")
         target.option("partitionOverwriteMode", "dynamic").parquet(f"{silver}/{name}")
-    return judged.where(failed(F.col("verdict"))).count()
+    counts = judged.agg(
+        F.count_if(failed(F.col("verdict"))).alias("failed"), F.count_if(F.col("verdict") == "corrupt").alias("corrupt")
+    ).first()
+    return counts["failed"], counts["corrupt"]
 
 
 def run_silver(
@@ -75,40 +135,69 @@ def run_silver(
     bronze: str,
     silver: str,
     season: int | None = None,
-    datasets: Iterable[str] | None = None,
+    datasets: Iterable[str | Dataset] | None = None,
     threshold: float = ERROR_THRESHOLD,
     on_error: str = "fail",
     whole_files: bool = False,
 ) -> SilverRun:
     """Refine every dataset; bad pages stop nothing but, with ``on_error='fail'``, the run's end.
 
-    Season-less datasets are read whole, the others only in their season's folder.
+    Pages that report records but hold none fail it in either mode. Season-less datasets are read
+    whole, the others only in their season's folder.
     """
-    failures: dict[str, int] = {}
-    skipped: list[str] = []
-    for name in datasets or DATASETS:
-        spec = DATASETS[name]
+    run = SilverRun(silver, {}, [])
+    for entry in datasets or DATASETS:
+        spec = DATASETS[entry] if isinstance(entry, str) else entry
         try:
             pages = read_pages(spark, bronze, spec, season, whole_files)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            skipped.append(name)
+            run.skipped.append(spec.name)
             continue
-        failures[name] = refine(spark, pages, silver, spec, threshold)
-    run = SilverRun(silver, failures, skipped)
-    if on_error == "fail" and any(failures.values()):
-        raise PagesRejectedError(f"pages failed: { {k: n for k, n in failures.items() if n} }")
+        run.failures[spec.name], corrupt = _refined(spark, pages, silver, spec, threshold, True)
+        if corrupt:
+            run.corrupt[spec.name] = corrupt
+    if run.corrupt:
+        raise CorruptPagesError(f"pages report records but hold none: {run.corrupt}")
+    if on_error == "fail" and any(run.failures.values()):
+        raise PagesRejectedError(f"pages failed: { {k: n for k, n in run.failures.items() if n} }")
     return run
 
 
-def check_bronze(
-    spark: SparkSession, bronze: str, spec: Dataset, season: int | None = None
+def run_seasons(
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    seasons: Iterable[int],
+    datasets: Iterable[str | Dataset] | None = None,
+    threshold: float = ERROR_THRESHOLD,
+    whole_files: bool = False,
 ) -> DataFrame:
-    """Payload check of one dataset's pages; raises on corrupt ones."""
-    payloads = page_payloads(read_pages(spark, bronze, spec, season), spec)
-    require_no_corruption(payloads)
-    return payloads
+    """Run season by season and return one row each: ``season, status, failed_pages``.
 
-
-__all__ = ["SilverRun", "PagesRejectedError", "run_silver", "refine", "deduplicated", "check_bronze", "dataset_path"]
+    SUCCESS without failed pages, PARTIAL with some, FAILED if the season's run raised; a season that
+    fails does not stop the ones after it. The rows feed ``audit.backfill_summary``.
+    """
+    rows: list[tuple[int, str, int]] = []
+    chosen = list(datasets or DATASETS)
+    for season in seasons:
+        try:
+            run = run_silver(spark, bronze, silver, season, chosen, threshold, "continue", whole_files)
+        except CorruptPagesError:
+            rows.append((season, "FAILED", 0))
+            continue
+        bad = sum(run.failures.values())
+        rows.append((season, "PARTIAL" if bad else "SUCCESS", bad))
+    return spark.createDataFrame(rows, "season long, status string, failed_pages long")
+
+
+__all__ = [
+    "SilverRun",
+    "PagesRejectedError",
+    "run_silver",
+    "run_seasons",
+    "refine",
+    "deduplicated",
+    "dataset_path",
+]

@@ -165,6 +165,9 @@ def _per_season(
     )
 
 
+# A driver may have two results in one race, in shared cars: number and position tell them apart.
+_ENTRY = ("driver_driver_id", "number", "position")
+
 RACES = "RaceTable.Races"
 STANDINGS = "StandingsTable.StandingsLists"
 
@@ -172,16 +175,16 @@ DATASETS: dict[str, Dataset] = {
     d.name: d
     for d in (
         Dataset("seasons", SEASON, (Level("SeasonTable.Seasons"),), ("season",), url_pattern="seasons.json"),
-        _per_season("circuits", CIRCUIT, "CircuitTable.Circuits", ("circuit_id",), "reference", 1, "{season}/circuits.json"),
+        _per_season("circuits", CIRCUIT, "CircuitTable.Circuits", ("season", "circuit_id"), "reference", 1, "{season}/circuits.json"),
         Dataset("status", STATUS, (Level("StatusTable.Status"),), ("status_id",), url_pattern="status.json"),
         _per_season("constructors", CONSTRUCTOR, "ConstructorTable.Constructors", ("season", "constructor_id"), "season", 2, "{season}/constructors.json"),
         _per_season("drivers", DRIVER, "DriverTable.Drivers", ("season", "driver_id"), "season", 2, "{season}/drivers.json"),
         _per_season("races", RACE, RACES, ("season", "round"), "season", 2, "{season}.json", paginated=False),
-        _per_round("results", RESULT, (RACES, "Results"), ("driver_driver_id",)),
-        _per_round("qualifying", QUALIFYING, (RACES, "QualifyingResults"), ("driver_driver_id",)),
+        _per_round("results", RESULT, (RACES, "Results"), _ENTRY),
+        _per_round("qualifying", QUALIFYING, (RACES, "QualifyingResults"), _ENTRY),
         _per_round("laps", LAP, (RACES, "Laps"), ("number", "timings_driver_id")),
         _per_round("pitstops", PIT_STOP, (RACES, "PitStops"), ("driver_id", "stop")),
-        _per_round("sprint", SPRINT, (RACES, "SprintResults"), ("driver_driver_id",)),
+        _per_round("sprint", SPRINT, (RACES, "SprintResults"), _ENTRY),
         _per_round("driverstandings", DRIVER_STANDING, (STANDINGS, "DriverStandings"), ("driver_driver_id", "constructors_constructor_id"), url="driverStandings"),
         _per_round("constructorstandings", CONSTRUCTOR_STANDING, (STANDINGS, "ConstructorStandings"), ("constructor_constructor_id",), url="constructorStandings"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +36,14 @@ def silver_rows(judged: DataFrame, spec: Dataset) -> DataFrame:
 
 
 def write_silver(rows: DataFrame, base: str, spec: Dataset, mode: str = "overwrite") -> None:
-    """Consolidate pages into one sorted dataset per partition; overwrite only what is present."""
+    """Consolidate pages into one sorted dataset per partition; overwrite only what is present.
+
+    An unpartitioned dataset is never replaced by no rows.
+    """
     keys = list(spec.partitions)
     order = [c for c in spec.natural_key if c not in keys]
+    if not keys and not rows.head(1):
+        return
     frame = rows.hint("rebalance", *keys) if keys else rows.hint("rebalance")
     writer = frame.sortWithinPartitions(*keys, *order).write.mode(mode)
     if keys:
@@ -45,6 +51,17 @@ def write_silver(rows: DataFrame, base: str, spec: Dataset, mode: str = "overwri
     writer.parquet(dataset_path(base, spec))
 
 
+def present_partitions(spark: SparkSession, base: str, spec: Dataset) -> DataFrame | None:
+    """The partitions Silver holds of a dataset (one row if it has none to name); None without data."""
+    try:
+        found = spark.read.parquet(dataset_path(base, spec))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return found.select(*(F.col(k).cast("long").alias(f"_p_{k}") for k in spec.partitions)).distinct()
+
+
 def read_parquet_as(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """External table over Parquet files under a declared schema; absent columns are NULL."""
     return spark.read.schema(schema).parquet(path)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.operators.validate import ERROR_THRESHOLD, judge_pages, page_verdicts
+from smeltery.operators.validate import ERROR_THRESHOLD, judge_pages, page_verdicts, quarantined_records
+from smeltery.plans.silver_run import deduplicated
 from smeltery.sources.models import Dataset
 from smeltery.sources.silver import silver_rows
 from smeltery.sources.tables import written
@@ -22,16 +23,28 @@ def new_files(spark: SparkSession, path: str, schema: T.StructType, files_per_ba
     return reader.parquet(path)
 
 
-def new_pages(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    """Landed text pages as a stream, with the columns the batch reader gives."""
+def new_pages(spark: SparkSession, path: str, spec: Dataset, batch_id: str = "") -> DataFrame:
+    """Landed text pages of one dataset as a stream, with the columns the batch reader gives.
+
+    Season, round and batch come from the folders of the dataset's layout; ``batch_id`` is for files
+    that lie in no batch folder.
+    """
     raw = spark.readStream.option("recursiveFileLookup", "true").text(path)
-    none = F.lit(None).cast("int")
+    file = F.col("_metadata.file_path")
+
+    def folder(name: str) -> Column:
+        return F.nullif(F.regexp_extract(file, rf"/{name}=([^/]+)/", 1), F.lit(""))
+
+    keys = [
+        (folder(k).try_cast("int") if k in spec.partitions else F.lit(None).cast("int")).alias(f"_p_{k}")
+        for k in ("season", "round")
+    ]
+    in_text = F.get_json_object("value", "$.metadata.batch_id")
     return raw.select(
-        none.alias("_p_season"),
-        none.alias("_p_round"),
-        F.coalesce(F.get_json_object("value", "$.metadata.batch_id"), F.lit(batch_id)).alias("batch_id"),
+        *keys,
+        F.coalesce(folder("batch_id"), in_text, F.lit(batch_id)).alias("batch_id"),
         F.coalesce(F.get_json_object("value", "$.metadata.page").try_cast("int"), F.lit(1)).alias("page"),
-        F.col("_metadata.file_path").alias("_file_path"),
+        file.alias("_file_path"),
         "value",
     )
 
@@ -57,13 +70,23 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def refine_into(
-    silver: str, verdicts: str, spec: Dataset, threshold: float = ERROR_THRESHOLD
+    silver: str, audit: str, spec: Dataset, threshold: float = ERROR_THRESHOLD
 ) -> Callable[[DataFrame, int], None]:
-    """Judge every micro-batch once and append its good rows and its verdicts."""
+    """Judge every micro-batch once; keep its good rows, its verdicts and its bad records.
+
+    A batch that is replayed overwrites its own folders. Pages of later batches land beside older ones;
+    ``taken_in`` gives the rows that count.
+    """
 
     def handle(frame: DataFrame, batch: int) -> None:
-        judged = written(judge_pages(frame, spec, threshold), f"stream-{spec.name}")
-        silver_rows(judged, spec).write.mode("overwrite").parquet(f"{silver}/_batch={batch}")
-        page_verdicts(judged).write.mode("overwrite").parquet(f"{verdicts}/_batch={batch}")
+        judged = written(judge_pages(frame, spec, threshold, gate=True), f"stream-{spec.name}")
+        parts = ((silver_rows(judged, spec), silver), (page_verdicts(judged), f"{audit}/verdicts"), (quarantined_records(judged), f"{audit}/quarantine"))
+        for rows, target in parts:
+            rows.write.mode("overwrite").parquet(f"{target}/_batch={batch}")
 
     return handle
+
+
+def taken_in(spark: SparkSession, silver: str, spec: Dataset) -> DataFrame:
+    """The rows a stream has taken in: newest batch per partition, newest record per key."""
+    return deduplicated(spark.read.parquet(silver).drop("_batch"), spec)

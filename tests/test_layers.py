@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from smeltery.functions.keys import object_key, page_count, parquet_key
 from smeltery.operators.audit import run_status
-from smeltery.operators.quality import reconcile, page_payloads
-from smeltery.plans.silver_run import PagesRejectedError, run_silver
+from smeltery.operators.quality import CorruptPagesError, reconcile, page_payloads
+from smeltery.plans.silver_run import PagesRejectedError, run_seasons, run_silver
 from smeltery.plans.worklist import round_worklist, season_range, still_missing, with_keys, with_pages
 from smeltery.session import scratch_path
 from smeltery.sources.bronze import changed_pages, envelope, file_inventory, land, manifest, read_pages
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import read_silver
 from smeltery.sources.tables import as_table
-from smeltery.streaming.intake import drain, new_pages, refine_into
+from smeltery.streaming.intake import drain, new_pages, refine_into, taken_in
 from test_pages import DRIVER, SIMPLE, TEAM, drivers
 
 CIRCUIT = {"circuitId": "spa", "circuitName": "Spa", "url": "u", "Location": {"lat": "50.4", "long": "5.9", "locality": "Spa", "country": "belgium"}}
@@ -32,8 +32,8 @@ PAYLOADS = {
     "results": ("RaceTable", "Races", "Results", [RESULT]),
     "qualifying": ("RaceTable", "Races", "QualifyingResults", [{"number": "1", "position": "1", "Driver": DRIVER, "Constructor": TEAM, "Q1": "1:20.1"}]),
     "sprint": ("RaceTable", "Races", "SprintResults", [RESULT]),
-    "pitstops": ("RaceTable", "Races", "PitStops", [{"driverId": "max", "lap": "9", "stop": "1", "time": "15:02:11", "duration": "23.456"}]),
-    "laps": ("RaceTable", "Races", "Laps", [{"number": "1", "Timings": [{"driverId": "max", "position": "1", "time": "1:21.3"}]}]),
+    "pitstops": ("RaceTable", "Races", "PitStops", [{"driverId": "ada", "lap": "9", "stop": "1", "time": "15:02:11", "duration": "23.456"}]),
+    "laps": ("RaceTable", "Races", "Laps", [{"number": "1", "Timings": [{"driverId": "ada", "position": "1", "time": "1:21.3"}]}]),
     "driverstandings": ("StandingsTable", "StandingsLists", "DriverStandings", [{"position": "1", "points": "25", "wins": "1", "Driver": DRIVER, "Constructors": [TEAM]}]),
     "constructorstandings": ("StandingsTable", "StandingsLists", "ConstructorStandings", [{"position": "1", "points": "25", "wins": "1", "Constructor": TEAM}]),
 }
@@ -46,11 +46,11 @@ def body(name, records=None):
     return {"MRData": {"total": str(len(records)), table: {outer: inside}}}
 
 
-def write_page(base, name, batch, document, page=1, file=None, raw=None):
+def write_page(base, name, batch, document, page=1, file=None, raw=None, season=2024):
     """One page per gzip file, the way a per-page landing leaves it."""
     spec = DATASETS[name]
     parts = [f"endpoint={name}"]
-    parts += ["season=2024"] * spec.has_season + ["round=05"] * spec.has_round + [f"batch_id={batch}"]
+    parts += [f"season={season}"] * spec.has_season + ["round=05"] * spec.has_round + [f"batch_id={batch}"]
     folder = Path(base, "ergast", *parts)
     folder.mkdir(parents=True, exist_ok=True)
     metadata = {"batch_id": batch, "endpoint": name, "page": page, "ingestion_timestamp": "2024-05-02T00:00:00Z"}
@@ -79,7 +79,7 @@ def test_latest_batch_and_natural_key_win(spark, tmp_path):
     write_page(bronze, "results", "2", body("results", [{**RESULT, "points": "26"}]), page=2)
     run_silver(spark, bronze, silver, 2024, ["results"], whole_files=True)
     rows = read_silver(spark, silver, DATASETS["results"]).collect()
-    assert [(r.driver_driver_id, r.points) for r in rows] == [("max", 26.0)]
+    assert [(r.driver_driver_id, r.points) for r in rows] == [("ada", 26.0)]
 
 
 def test_bad_pages_fail_the_run_after_the_good_are_written(spark, tmp_path):
@@ -96,6 +96,72 @@ def test_bad_pages_fail_the_run_after_the_good_are_written(spark, tmp_path):
     assert verdicts == {1: "ok", 2: "invalid_json", 3: "rejected"}
 
 
+CIRCUIT = {"circuitId": "loop", "circuitName": "Loop", "url": "u", "Location": {"lat": "1", "long": "2", "locality": "x", "country": "y"}}
+BROKEN = {"driverId": "?"}
+
+
+@pytest.fixture
+def places(tmp_path):
+    return str(tmp_path / "b"), str(tmp_path / "s")
+
+
+def test_seasons_keep_their_own_rows(spark, places):
+    for season in (2022, 2023, 2024):
+        write_page(places[0], "circuits", "1", body("circuits", [CIRCUIT]), season=season)
+    run_silver(spark, *places, None, ["circuits"], whole_files=True)
+    rows = read_silver(spark, places[1], DATASETS["circuits"]).collect()
+    assert sorted(r.season for r in rows) == [2022, 2023, 2024]
+
+
+def test_shared_drives_keep_both_results(spark, places):
+    shared = [RESULT, {**RESULT, "number": "8", "position": "4"}, {**RESULT, "number": "8", "position": "4"}]
+    write_page(places[0], "results", "1", body("results", shared))
+    run_silver(spark, *places, 2024, ["results"], whole_files=True)
+    assert sorted(r.number for r in read_silver(spark, places[1], DATASETS["results"]).collect()) == [1, 8]
+
+
+def test_rejected_pages_do_not_replace_good_rows(spark, places):
+    write_page(places[0], "seasons", "1", body("seasons"))
+    write_page(places[0], "results", "1", body("results", [RESULT, {**RESULT, "Driver": {**DRIVER, "driverId": "bob"}}]))
+    run_silver(spark, *places, 2024, ["seasons", "results"], whole_files=True)
+    write_page(places[0], "seasons", "2", None, raw="no json")
+    write_page(places[0], "results", "2", body("results"))
+    write_page(places[0], "results", "2", body("results", [BROKEN]), page=2)
+    run = run_silver(spark, *places, 2024, ["seasons", "results"], on_error="continue", whole_files=True)
+    assert run.failures == {"seasons": 1, "results": 1}
+    assert read_silver(spark, places[1], DATASETS["seasons"]).count() == 1
+    rows = read_silver(spark, places[1], DATASETS["results"]).collect()
+    assert [r.batch_id for r in rows] == ["1", "1"]
+
+
+def test_a_batch_that_lacks_pages_does_not_replace_a_whole_one(spark, places):
+    many = [{**RESULT, "number": str(i)} for i in range(3)]
+    write_page(places[0], "results", "1", body("results", many))
+    part = body("results", many[:1])
+    part["MRData"] |= {"total": "3", "limit": "1"}
+    write_page(places[0], "results", "2", part, page=2)
+    run_silver(spark, *places, 2024, ["results"], whole_files=True)
+    assert read_silver(spark, places[1], DATASETS["results"]).count() == 3
+
+
+def test_audit_tables_keep_earlier_seasons(spark, places):
+    for season in (2023, 2024):
+        write_page(places[0], "drivers", "1", body("drivers"), season=season)
+        run = run_silver(spark, *places, season, ["drivers"], whole_files=True)
+    assert sorted(r.season for r in run.verdicts(spark).collect()) == [2023, 2024]
+
+
+@pytest.mark.parametrize("mode", ["fail", "continue"])
+def test_pages_without_their_records_always_fail(spark, places, mode):
+    lost = body("drivers", [])
+    lost["MRData"]["total"] = "50"
+    write_page(places[0], "drivers", "1", lost)
+    with pytest.raises(CorruptPagesError):
+        run_silver(spark, *places, 2024, ["drivers"], on_error=mode, whole_files=True)
+    runs = run_seasons(spark, *places, [2024], ["drivers"], whole_files=True)
+    assert [tuple(r) for r in runs.collect()] == [(2024, "FAILED", 0)]
+
+
 def test_single_page_files_and_path_keys_stay_text(spark, tmp_path):
     write_page(tmp_path, "results", "007", body("results"), file="data.json.gz", page=1)
     row = read_pages(spark, str(tmp_path), DATASETS["results"], season=2024, whole_files=True).first()
@@ -183,9 +249,10 @@ def test_stream_refines_each_page_once(spark, tmp_path):
     for year in (2023, 2024):
         text = json.dumps(body("seasons", [{"season": str(year), "url": "u"}]))
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(source)
-        drain(new_pages(spark, source, "b"), progress, refine_into(silver, verdicts, spec))
+        drain(new_pages(spark, source, spec, "b"), progress, refine_into(silver, verdicts, spec))
     assert sorted(r.season for r in spark.read.parquet(silver).collect()) == [2023, 2024]
-    assert spark.read.parquet(verdicts).count() == 2
+    assert spark.read.parquet(f"{verdicts}/verdicts").count() == 2
+    assert taken_in(spark, silver, spec).count() == 2
 
 
 def test_table_is_replaced(spark, tmp_path):
