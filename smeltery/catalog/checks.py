@@ -205,12 +205,12 @@ SELECT week, count(*) FILTER (outcome = 'written') AS files_written,
   CAST(coalesce(sum(bytes) FILTER (outcome = 'written'), 0) AS BIGINT) AS bytes_written,
   count(*) FILTER (outcome = 'error') AS errors_encountered,
   CASE WHEN errors_encountered = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
-  CAST(sum(seconds) AS DOUBLE) AS duration_seconds
+  CAST(sum(seconds) AS DOUBLE) AS duration_seconds, CAST(round(CAST(sum(seconds) AS DECIMAL(18,2)) / 60, 2) AS DOUBLE) AS duration_minutes
 FROM {_LOG} GROUP BY week""".replace("value * 1000", "round(value * 1000)"))
 def run_counters(t: Tables) -> DataFrame:
     log = _request_log(t)
-    counted = audit.run_counters(log, ["week"]).drop("duration_minutes")
-    return counted.withColumn("duration_seconds", F.col("duration_seconds").cast("double"))
+    counted = audit.run_counters(log, ["week"])
+    return counted.withColumns({c: F.col(c).cast("double") for c in ("duration_seconds", "duration_minutes")})
 
 
 def _request_log(t: Tables) -> DataFrame:

@@ -19,7 +19,7 @@ from smeltery.sources import bronze
 from smeltery.sources.models import Dataset, Level
 from smeltery.sources.registry import SOURCE
 from smeltery.sources.silver import read_parquet_as, read_silver, silver_rows
-from smeltery.sources.tables import as_view
+from smeltery.sources.tables import as_view, written
 from smeltery.streaming.intake import append_to, drain, new_files, new_pages, refine_into, taken_in
 
 # Events as a per-round and as a global dataset, for the two shapes of the layout.
@@ -39,18 +39,23 @@ def _landed(t: Tables, dirty: bool = False, batch: str = BATCH) -> DataFrame:
 @query(f"""
 WITH landed AS (SELECT weekofyear(ts) AS week, day(ts) AS day, {_PAGE} AS page, event_type, count(*) AS n
   FROM events GROUP BY ALL)
-SELECT week AS season, day AS round, sum(n)::BIGINT AS records, count(*) AS pages, count(*) AS distinct_digests, true AS same
+SELECT week AS season, day AS round, sum(n)::BIGINT AS records, count(*) AS pages, count(*) AS distinct_digests, week <> 3 AS same
 FROM landed GROUP BY ALL""")
 def manifest(t: Tables) -> DataFrame:
-    """Landed pages, their checksums compared with those of a second read of the files."""
+    """Landed pages, their checksums compared with those of a second read, one season altered between."""
     base = scratch_path(t.spark, "bronze")
-    bronze.land(_landed(t), base, RACE_EVENTS)
-    first = bronze.manifest(bronze.read_pages(t.spark, base, RACE_EVENTS), RACE_EVENTS)
-    return first.groupBy("season", "round").agg(
+    pages = _landed(t)
+    bronze.land(pages, base, RACE_EVENTS)
+    first = written(bronze.manifest(bronze.read_pages(t.spark, base, RACE_EVENTS), RACE_EVENTS), "manifest")
+    altered = pages.where("season = 3").withColumn("value", F.regexp_replace("value", '"unknownField":"x"', '"unknownField":"y"'))
+    bronze.land(altered, base, RACE_EVENTS, mode="overwrite")
+    second = bronze.manifest(bronze.read_pages(t.spark, base, RACE_EVENTS), RACE_EVENTS)
+    known = second.join(first.select("digest", F.lit(True).alias("known")).distinct(), "digest", "left")
+    return known.groupBy("season", "round").agg(
         F.sum("api_response_total").alias("records"),
         F.count(F.lit(1)).alias("pages"),
         F.count_distinct("digest").alias("distinct_digests"),
-        (F.min("size") > 0).alias("same"),
+        F.every(F.col("known").isNotNull()).alias("same"),
     )
 
 

@@ -82,17 +82,18 @@ def carried_forward(
     return full.select(*frame.columns, F.coalesce("_local", "_carry").alias(output))
 
 
-def descending_rank(
-    frame: DataFrame, keys: list[str], measures: list[str], chunk: Column, output: str
-) -> DataFrame:
-    """Add the SQL ``rank()`` by ``measures`` descending; ``chunk`` must fall with the first one."""
-    cut = frame.withColumn(CHUNK, chunk)
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*(F.desc(m) for m in measures))
-    local = cut.withColumn("_local", F.rank().over(inside))
-    counts = cut.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
-    above = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    summary = counts.select(
-        *keys, CHUNK, F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_carry")
+def descending_rank(frame: DataFrame, keys: list[str], measures: list[str], output: str) -> DataFrame:
+    """Add the SQL ``rank()`` by ``measures`` descending, without sorting the rows of a group.
+
+    Rows are counted per distinct measures first; a rank is one more than the rows counted above it.
+    However many rows tie, they are one row of the ranking.
+    """
+    counts = frame.groupBy(*keys, *measures).agg(F.count(F.lit(1)).alias("_rows"))
+    above = (
+        Window.partitionBy(*keys).orderBy(*(F.desc(m) for m in measures)).rowsBetween(Window.unboundedPreceding, -1)
     )
-    full = _with_carry(local, summary, keys, ["_carry"])
-    return full.select(*frame.columns, (F.col("_local") + F.col("_carry")).alias(output))
+    ranks = counts.select(*keys, *measures, (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).alias(output))
+    match = F.lit(True)
+    for c in (*keys, *measures):
+        match = match & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return frame.alias("l").join(ranks.alias("r"), match).select("l.*", F.col(f"r.{output}"))

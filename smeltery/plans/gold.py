@@ -216,12 +216,11 @@ def fastest_laps_by_circuit(results: DataFrame) -> DataFrame:
 
 
 def standings_by_round(
-    results: DataFrame, entity: str = "driver_id", step: int = 100
+    results: DataFrame, entity: str = "driver_id"
 ) -> DataFrame:
     """Points, wins and rank of every entity after every round, from its first one on.
 
-    A round an entity sat out repeats its last totals. ``step`` is the width, in points, of the
-    pieces a round is ranked in.
+    A round an entity sat out repeats its last totals.
     """
     per_round = results.groupBy("season", entity, "round").agg(
         F.sum(F.col("points").cast(POINTS)).alias("points"),
@@ -245,8 +244,7 @@ def standings_by_round(
         "points",
         "wins",
     )
-    piece = F.floor(F.coalesce("points", F.lit(0)) / step)
-    return descending_rank(spread, ["season", "round"], ["points", "wins"], piece, "position")
+    return descending_rank(spread, ["season", "round"], ["points", "wins"], "position")
 
 
 def standings_mismatches(computed: DataFrame, published: DataFrame, entity: str = "driver_id") -> DataFrame:

@@ -38,7 +38,7 @@ def test_rank_equals_plain_window(spark):
     frame, _ = skewed(spark)
     scored = frame.select("k", "t", (F.col("t") * 37 % 101).alias("p"), (F.col("t") % 3).alias("w"))
     plain = scored.select("*", F.rank().over(Window.partitionBy("k").orderBy(F.desc("p"), F.desc("w"))))
-    ours = descending_rank(scored, ["k"], ["p", "w"], F.floor(F.col("p") / 10), "r")
+    ours = descending_rank(scored, ["k"], ["p", "w"], "r")
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
 
 
