@@ -10,6 +10,7 @@ from smeltery.catalog.registry import Tables, query
 from smeltery.operators.history import apply_snapshot, as_of, as_of_join, history
 from smeltery.plans import gold
 from smeltery.session import scratch_path
+from smeltery.sources.tables import written
 
 # --- history ---
 
@@ -213,11 +214,11 @@ _FACT = """(SELECT year(o_orderdate)::INT AS season, month(o_orderdate)::INT AS
 
 
 def _fact(t: Tables) -> DataFrame:
-    return gold.fact_race_results(race_results(t), races(t), statuses(t))
+    return gold.fact_race_results(race_results(t), written(races(t), "races"), written(statuses(t), "statuses"))
 
 
 @query(f"""
-SELECT sha256(season || '|' || round || '|' || driver_id) AS result_id, * REPLACE (CAST(points AS DOUBLE) AS points)
+SELECT sha256(season || '|' || round || '|' || driver_id || '|' || final_position) AS result_id, * REPLACE (CAST(points AS DOUBLE) AS points)
 FROM {_FACT}""")
 def fact_race_results(t: Tables) -> DataFrame:
     return _fact(t).withColumn("points", F.col("points").cast("double"))
@@ -225,7 +226,7 @@ def fact_race_results(t: Tables) -> DataFrame:
 
 @query("""
 WITH q AS (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS ms FROM orders)
-SELECT sha256(year(o_orderdate) || '|' || month(o_orderdate) || '|d' || o_custkey) AS qualifying_id,
+SELECT sha256(year(o_orderdate) || '|' || month(o_orderdate) || '|d' || o_custkey || '|' || (o_orderkey % 20 + 1)) AS qualifying_id,
   year(o_orderdate)::INT AS season, month(o_orderdate)::INT AS round, 'd' || o_custkey AS driver_id, o_orderstatus AS constructor_id,
   ms AS q1_time, CASE WHEN o_orderkey % 3 > 0 THEN ms - 1000 END AS q2_time,
   CASE WHEN o_orderkey % 3 > 1 THEN ms % 60000 END AS q3_time, o_orderkey % 20 + 1 AS final_position FROM q""")

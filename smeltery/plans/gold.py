@@ -81,13 +81,23 @@ def dim_status(status: DataFrame) -> DataFrame:
 # --- facts ---
 
 
+def _entry_key(results: DataFrame) -> Column:
+    """A driver may hold two results of one race, in shared cars: number and position tell them apart."""
+    own = [c for c in ("number", "position") if c in results.columns]
+    return surrogate_key(*(F.col(c) for c in ("season", "round", "driver_driver_id", *own)))
+
+
 def fact_race_results(results: DataFrame, races: DataFrame, status: DataFrame) -> DataFrame:
-    """Results carry the status as text and no circuit, so both keys come from look-ups."""
+    """Results carry the status as text and no circuit, so both keys come from look-ups.
+
+    Hand in look-ups that are tables of their own, read from files: their size is then known, and the
+    planner broadcasts them, if small, instead of shuffling the results on a few keys.
+    """
     circuits = races.select("season", "round", F.col("circuit_circuit_id").alias("circuit_id"))
     codes = status.select("status", "status_id")
     joined = results.join(circuits, ["season", "round"], "left").join(codes, "status", "left")
     return joined.select(
-        surrogate_key(F.col("season"), F.col("round"), F.col("driver_driver_id")).alias("result_id"),
+        _entry_key(results).alias("result_id"),
         "season",
         "round",
         F.col("driver_driver_id").alias("driver_id"),
@@ -105,7 +115,7 @@ def fact_race_results(results: DataFrame, races: DataFrame, status: DataFrame) -
 
 def fact_qualifying_results(qualifying: DataFrame) -> DataFrame:
     return qualifying.select(
-        surrogate_key(F.col("season"), F.col("round"), F.col("driver_driver_id")).alias("qualifying_id"),
+        _entry_key(qualifying).alias("qualifying_id"),
         "season",
         "round",
         F.col("driver_driver_id").alias("driver_id"),

@@ -22,11 +22,12 @@ from smeltery.operators.validate import (
     page_verdicts,
     quarantined_records,
 )
+from smeltery.session import scratch_path
 from smeltery.sources.bronze import dataset_path, read_pages
 from smeltery.sources.models import Dataset
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import present_partitions, silver_rows, write_silver
-from smeltery.sources.tables import written
+from smeltery.sources.tables import remove, written_at
 
 VERDICTS, QUARANTINE = "_verdicts", "_quarantine"
 # Audit tables are replaced per dataset and season; datasets without seasons use this one.
@@ -113,20 +114,25 @@ def _refined(
     spark: SparkSession, pages: DataFrame, silver: str, spec: Dataset, threshold: float, dedupe: bool
 ) -> tuple[int, int]:
     """How many pages failed, and how many of them are corrupt."""
-    judged = written(judge_pages(pages, spec, threshold, gate=True), f"judged-{spec.name}")
-    if dedupe:
-        chosen = written(chosen_batches(judged, spec, present_partitions(spark, silver, spec)), "batches")
-        rows = newest_records(silver_rows(of_batches(judged, chosen, spec), spec), spec)
-    else:
-        rows = silver_rows(judged, spec)
-    write_silver(rows, silver, spec)
-    labels = [F.lit(spec.name).alias("endpoint"), F.coalesce(F.col("_p_season").cast("string"), F.lit(NO_SEASON)).alias("season")]
-    for frame, name in ((page_verdicts(judged), VERDICTS), (quarantined_records(judged), QUARANTINE)):
-        target = frame.select(*labels, "*").write.mode("overwrite").partitionBy("endpoint", "season")
-        target.option("partitionOverwriteMode", "dynamic").parquet(f"{silver}/{name}")
-    counts = judged.agg(
-        F.count_if(failed(F.col("verdict"))).alias("failed"), F.count_if(F.col("verdict") == "corrupt").alias("corrupt")
-    ).first()
+    scratch = scratch_path(spark, f"refine-{spec.name}")
+    judged = written_at(judge_pages(pages, spec, threshold, gate=True), f"{scratch}/judged")
+    try:
+        if dedupe:
+            batches = chosen_batches(judged, spec, present_partitions(spark, silver, spec))
+            chosen = of_batches(judged, written_at(batches, f"{scratch}/batches"), spec)
+            rows = newest_records(silver_rows(chosen, spec), spec)
+        else:
+            rows = silver_rows(judged, spec)
+        write_silver(rows, silver, spec)
+        season = F.coalesce(F.col("_p_season").cast("string"), F.lit(NO_SEASON)).alias("season")
+        for frame, name in ((page_verdicts(judged), VERDICTS), (quarantined_records(judged), QUARANTINE)):
+            target = frame.select(F.lit(spec.name).alias("endpoint"), season, "*").write.mode("overwrite")
+            target = target.partitionBy("endpoint", "season").option("partitionOverwriteMode", "dynamic")
+            target.parquet(f"{silver}/{name}")
+        bad = F.count_if(failed(F.col("verdict"))).alias("failed")
+        counts = judged.agg(bad, F.count_if(F.col("verdict") == "corrupt").alias("corrupt")).first()
+    finally:
+        remove(spark, scratch)
     return counts["failed"], counts["corrupt"]
 
 

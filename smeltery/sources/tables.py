@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from smeltery.session import scratch_path
 
@@ -13,10 +13,18 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     Cuts the lineage in storage that outlives an executor, and gives the planner the table's true
     size, so a join broadcasts it only if it is below the session's threshold.
     """
-    spark = frame.sparkSession
-    path = scratch_path(spark, label)
+    return written_at(frame, scratch_path(frame.sparkSession, label))
+
+
+def written_at(frame: DataFrame, path: str) -> DataFrame:
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table, in whatever store it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def as_view(frame: DataFrame, name: str) -> DataFrame:
