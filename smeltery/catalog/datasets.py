@@ -103,37 +103,41 @@ def _silver(pages: DataFrame, name: str) -> DataFrame:
 
 
 def _per_round(rows: DataFrame, name: str, record: Column, order: str, table: str = '"RaceTable":{"Races":[') -> DataFrame:
-    """Silver rows of a per-round dataset from joined rows with season, round and page."""
+    """Pages of a per-round dataset from joined rows with season, round and page."""
     inner = DATASETS[name].levels[1].path
     head = F.concat(
         F.lit(table + '{"season":"'), words("season"), F.lit('","round":"'), words("round"), F.lit(f'","{inner}":[')
     )
     shaped = rows.select("season", "round", "page", order, F.to_json(record).alias("record"))
-    return _silver(response(shaped, ["season", "round", "page"], order, head, "]}]}}}"), name)
+    return response(shaped, ["season", "round", "page"], order, head, "]}]}}}")
 
 
 def _list(rows: DataFrame, name: str, record: Column, order: str, path: tuple[str, str]) -> DataFrame:
     keys = [k for k in ("season", "page") if k in rows.columns]
     shaped = rows.select(*keys, F.col(order).alias("_order"), F.to_json(record).alias("record"))
     head = F.lit(f'"{path[0]}":{{"{path[1]}":[')
-    return _silver(response(shaped, keys, "_order", head, "]}}}"), name)
+    return response(shaped, keys, "_order", head, "]}}}")
 
 
 @query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS season, 'u' || year(o_orderdate) AS url FROM orders GROUP BY ALL""")
 def silver_seasons(t: Tables) -> DataFrame:
     years = t.orders.select(F.year("o_orderdate").alias("y")).distinct().withColumn("page", F.lit(0))
     record = F.struct(words("y").alias("season"), F.concat(F.lit("u"), "y").alias("url"))
-    return _list(years, "seasons", record, "y", ("SeasonTable", "Seasons"))
+    return _silver(_list(years, "seasons", record, "y", ("SeasonTable", "Seasons")), "seasons")
 
 
 @query(f"""SELECT {_circuit_sql('', 's_suppkey')}, CAST(2000 + s_suppkey % 3 AS BIGINT) AS season FROM supplier""")
 def silver_circuits(t: Tables) -> DataFrame:
     rows = t.supplier.selectExpr("*", "2000 + s_suppkey % 3 AS season", "int(s_suppkey / 1000) AS page")
-    return _list(rows, "circuits", circuit("s_suppkey"), "s_suppkey", ("CircuitTable", "Circuits"))
+    return _silver(_list(rows, "circuits", circuit("s_suppkey"), "s_suppkey", ("CircuitTable", "Circuits")), "circuits")
 
 
 @query("""SELECT ascii(o_orderstatus)::BIGINT AS status_id, o_orderstatus AS status, count(*) AS count FROM orders GROUP BY ALL""")
 def silver_status(t: Tables) -> DataFrame:
+    return _silver(status_pages(t), "status")
+
+
+def status_pages(t: Tables) -> DataFrame:
     rows = t.orders.groupBy("o_orderstatus").count().withColumn("page", F.lit(0))
     record = F.struct(
         F.ascii("o_orderstatus").cast("string").alias("statusId"),
@@ -146,13 +150,13 @@ def silver_status(t: Tables) -> DataFrame:
 @query(f"""SELECT {_driver_sql('')}, CAST(2000 + c_custkey % 3 AS BIGINT) AS season FROM customer""")
 def silver_drivers(t: Tables) -> DataFrame:
     rows = t.customer.selectExpr("*", "2000 + c_custkey % 3 AS season", "int(c_custkey / 1000) AS page")
-    return _list(rows, "drivers", driver(), "c_custkey", ("DriverTable", "Drivers"))
+    return _silver(_list(rows, "drivers", driver(), "c_custkey", ("DriverTable", "Drivers")), "drivers")
 
 
 @query(f"""SELECT {_constructor_sql('')}, CAST(2000 + n_nationkey % 2 AS BIGINT) AS season FROM nation""")
 def silver_constructors(t: Tables) -> DataFrame:
     rows = t.nation.selectExpr("*", "2000 + n_nationkey % 2 AS season", "int(n_nationkey / 1000) AS page")
-    return _list(rows, "constructors", constructor(), "n_nationkey", ("ConstructorTable", "Constructors"))
+    return _silver(_list(rows, "constructors", constructor(), "n_nationkey", ("ConstructorTable", "Constructors")), "constructors")
 
 
 @query(f"""
@@ -161,6 +165,10 @@ SELECT CAST(season AS BIGINT) AS season, CAST(day AS BIGINT) AS round, 'u' || da
 FROM (SELECT year(o_orderdate) AS season, dayofyear(o_orderdate) AS day, strftime(o_orderdate, '%Y-%m-%d') AS date
   FROM orders GROUP BY ALL)""")
 def silver_races(t: Tables) -> DataFrame:
+    return _silver(races_pages(t), "races")
+
+
+def races_pages(t: Tables) -> DataFrame:
     days = t.orders.select(
         F.year("o_orderdate").alias("season"),
         F.dayofyear("o_orderdate").alias("day"),
@@ -189,6 +197,10 @@ SELECT CASE WHEN k % 3 <> 0 THEN k % 100 END AS number, k % 20 + 1 AS position,
   CASE WHEN k % 3 <> 1 AND k % 5 <> 0 THEN k + 0.5::DOUBLE END AS fastest_lap_average_speed_speed, {_ROUND}
 FROM (SELECT *, o_orderkey AS k, o_orderkey * 7 + 60000 AS ms FROM {_ORDERS})""")
 def silver_results(t: Tables) -> DataFrame:
+    return _silver(results_pages(t), "results")
+
+
+def results_pages(t: Tables) -> DataFrame:
     rows = _orders(t).withColumn("k", F.col("o_orderkey"))
     speed = F.when(
         F.expr("k % 5 <> 0"), F.struct(F.lit("kph").alias("units"), F.format_string("%d.5", F.col("k")).alias("speed"))

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smeltery.catalog.frames import CENTS, clock, event_results, order_lines, race_results, races, statuses
+from smeltery.catalog.datasets import races_pages, results_pages, status_pages
+from smeltery.catalog.frames import CENTS, INGESTED, clock, event_results, order_lines, race_results, races, statuses
 from smeltery.catalog.registry import Tables, query
 from smeltery.operators.history import apply_snapshot, as_of, as_of_join, history
 from smeltery.plans import gold
+from smeltery.plans.gold_run import build_gold
+from smeltery.plans.silver_run import run_silver
 from smeltery.session import scratch_path
+from smeltery.sources.bronze import envelope, land
+from smeltery.sources.registry import DATASETS
 from smeltery.sources.tables import written
 
 # --- history ---
@@ -384,3 +389,25 @@ def preaggregate_refresh(t: Tables) -> DataFrame:
     daily(rows.where(~late)).write.partitionBy("season", "round").parquet(path)
     gold.refresh_aggregate(rows, rows.where(late), ["season", "round"], daily, path)
     return t.spark.read.parquet(path).select("season", "round", "n", "points")
+
+
+_KEPT = """(SELECT year(o_orderdate) AS season, month(o_orderdate) AS round, 'c' || c_nationkey AS constructor_id,
+    o_orderkey % 20 + 1 AS place, CAST(o_totalprice AS DECIMAL(18,2)) AS points FROM orders JOIN customer ON o_custkey = c_custkey
+  QUALIFY row_number() OVER (PARTITION BY season, round, o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 100 END, place
+    ORDER BY o_orderkey DESC) = 1)"""
+
+
+@query(f"""
+SELECT CAST(season AS BIGINT) AS season, constructor_id, CAST(sum(points) AS DOUBLE) AS total_points, count(DISTINCT round) AS races,
+  count(*) FILTER (place = 1) AS wins, count(*) FILTER (place <= 3) AS podiums FROM {_KEPT} GROUP BY ALL""")
+def gold_build(t: Tables) -> DataFrame:
+    """Pages landed, refined to Silver and built to Gold; the season table of the constructors."""
+    base, silver, target = (scratch_path(t.spark, n) for n in ("bronze", "silver", "gold"))
+    for name, pages in (("results", results_pages(t)), ("races", races_pages(t)), ("status", status_pages(t))):
+        place = [F.col(c) for c in ("_p_season", "_p_round", "batch_id", "page")]
+        value = envelope(F.lit(name), *place, F.lit(INGESTED), F.lit(None), F.col("value"))
+        keyed = pages.withColumn("value", value).withColumnsRenamed({"_p_season": "season", "_p_round": "round"})
+        land(keyed, base, DATASETS[name])
+    run_silver(t.spark, base, silver, None, ["results", "races", "status"])
+    stats = build_gold(t.spark, silver, target)["agg_constructor_season"]
+    return stats.withColumn("total_points", F.col("total_points").cast("double"))
