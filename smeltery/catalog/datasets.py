@@ -245,7 +245,7 @@ def silver_qualifying(t: Tables) -> DataFrame:
         F.when(third > 0, clock(F.col("ms") + 1)).alias("Q2"),
         F.when(third > 1, "").alias("Q3"),
     )
-    return _per_round(_orders(t), "qualifying", record, "o_orderkey")
+    return _silver(_per_round(_orders(t), "qualifying", record, "o_orderkey"), "qualifying")
 
 
 @query(f"""
@@ -264,7 +264,7 @@ def silver_sprint(t: Tables) -> DataFrame:
         constructor().alias("Constructor"),
         F.col("o_orderpriority").alias("status"),
     )
-    return _per_round(_orders(t), "sprint", record, "o_orderkey")
+    return _silver(_per_round(_orders(t), "sprint", record, "o_orderkey"), "sprint")
 
 
 _ORDER_LINES = f"""(SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS number, count(*) AS n, {_ROUND}
@@ -299,7 +299,7 @@ def silver_pitstops(t: Tables) -> DataFrame:
         F.lit("15:02:11").alias("time"),
         F.concat("n", F.lit("3.456")).alias("duration"),
     )
-    return _per_round(_lines(t), "pitstops", record, "_order")
+    return _silver(_per_round(_lines(t), "pitstops", record, "_order"), "pitstops")
 
 
 @query(f"""
@@ -351,7 +351,7 @@ def silver_driverstandings(t: Tables) -> DataFrame:
         driver().alias("Driver"),
         teams.alias("Constructors"),
     )
-    return _per_round(_orders(t), "driverstandings", record, "o_orderkey", '"StandingsTable":{"StandingsLists":[')
+    return _silver(_per_round(_orders(t), "driverstandings", record, "o_orderkey", '"StandingsTable":{"StandingsLists":['), "driverstandings")
 
 
 @query(f"""
@@ -364,4 +364,4 @@ def silver_constructorstandings(t: Tables) -> DataFrame:
         F.expr("string(o_orderkey % 7)").alias("wins"),
         constructor().alias("Constructor"),
     )
-    return _per_round(_orders(t), "constructorstandings", record, "o_orderkey", '"StandingsTable":{"StandingsLists":[')
+    return _silver(_per_round(_orders(t), "constructorstandings", record, "o_orderkey", '"StandingsTable":{"StandingsLists":['), "constructorstandings")
