@@ -31,7 +31,7 @@ THRESHOLD = 0.8
 # 32 bands of 5 values: a pair at 0.8 shares no bucket with a probability of 3 in a million.
 BANDS, ROWS = 32, 5
 STEP = 32
-TOLERANCE = 1e-5
+TOLERANCE = 1e-8
 # Texts of one block of a bucket, and candidate pairs compared at once.
 BLOCK = 2048
 PAIRS = 1 << 17
