@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from bisect import bisect_right
 from collections import ChainMap, defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -30,7 +31,7 @@ END_ID = 2
 # Rests of one group, packed by one task; a group leaves one window unfilled, two at most.
 GROUP_ROWS = 4096
 # Words whose ids a worker remembers, and the bytes of a word that is merged here.
-MEMORY = 800_000
+MEMORY = 1_500_000
 LONGEST = 40
 # Control characters that Python and the tokenizer's pattern do not both take as white space.
 _ODD_SPACE = frozenset("\x1c\x1d\x1e\x1f\u180e")
@@ -133,14 +134,13 @@ def pieces_of(ids: bytes, window: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
-    """How many of each length fill ``room`` best: the largest sum not above it, with its counts."""
+def best_fill(lengths: list[int], counts: dict[int, int], room: int) -> dict[int, int]:
+    """How many of each length (rising, with counts) fill ``room`` best: the largest sum not above it."""
     reach, steps, full = 1, [], 1 << room
     keep = (full << 1) - 1
-    for length in sorted(counts, reverse=True):
+    for i in range(bisect_right(lengths, room) - 1, -1, -1):
+        length = lengths[i]
         left, take = counts[length], 1
-        if length > room:
-            continue
         while left > 0:
             take = min(take, left)
             if length * take > room:
@@ -163,23 +163,26 @@ def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
 def pack(lengths: list[int], window: int) -> list[tuple[int, int]]:
     """(sequence, offset) of each length, by minimum bin slack."""
     waiting: dict[int, list[int]] = defaultdict(list)
-    for i in sorted(range(len(lengths)), key=lambda i: -i):
+    for i in range(len(lengths) - 1, -1, -1):
         waiting[lengths[i]].append(i)
+    rising = sorted(waiting)
+    counts = {k: len(v) for k, v in waiting.items()}
     place: list[tuple[int, int]] = [(0, 0)] * len(lengths)
     sequence = 0
-    while waiting:
-        largest = max(waiting)
-        counts = {k: len(v) for k, v in waiting.items()}
+    while rising:
+        largest = rising[-1]
         counts[largest] -= 1
-        fill = best_fill({k: n for k, n in counts.items() if n}, window - largest)
+        fill = best_fill(rising, counts, window - largest)
+        counts[largest] += 1
         fill[largest] = fill.get(largest, 0) + 1
         offset = 0
         for length in sorted(fill, reverse=True):
             for _ in range(fill[length]):
                 place[waiting[length].pop()] = (sequence, offset)
                 offset += length
-            if not waiting[length]:
-                del waiting[length]
+            counts[length] -= fill[length]
+            if not counts[length]:
+                rising.remove(length)
         sequence += 1
     return place
 
