@@ -44,9 +44,12 @@ def build_session(app: str = "smeltery", cpus: int | None = None) -> SparkSessio
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    A folder set with ``setCheckpointDir`` counts as well. Only a local master may fall back to a
+    temporary folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = getattr(spark.sparkContext, "getCheckpointDir", lambda: None)()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
