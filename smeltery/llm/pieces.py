@@ -9,12 +9,12 @@ segmentation per seed, whatever the batch or task it is in, and every one decode
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ LONGEST = 40
 CHUNK = 1 << 16
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 # No piece has a blank behind another character, so no merge crosses from a word to the next blank.
-_WORDS = regex.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+_WORDS = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
 def _keeps(seeds: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
@@ -71,11 +71,15 @@ class Encoder:
         scores = np.array([model.get_score(i) for i in range(count)])
         order = np.argsort(np.argsort(-scores, kind="stable"), kind="stable")
         self.table = PairTable(table[:, 0], table[:, 1], order[table[:, 2]], table[:, 2])
-        self.of_id = [b""] * count
+        raw = [b""] * count
         for name, i in names.items():
-            self.of_id[i] = name.replace(BLANK, " ").encode()
+            raw[i] = name.replace(BLANK, " ").encode()
         for b, i in enumerate(self.bytes):
-            self.of_id[i] = bytes([b])
+            raw[i] = bytes([b])
+        # The bytes of all pieces in a row, and where each piece's begin and how many they are.
+        self.blob = np.frombuffer(b"".join(raw), np.uint8)
+        self.sizes = np.array([len(r) for r in raw], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def _agenda(self, symbols: np.ndarray, seed: np.uint64, dropout: float) -> np.ndarray:
         """The merges of one long word, from a heap of candidates."""
@@ -168,8 +172,14 @@ class Encoder:
             for t, parts, table in zip(texts, split, tables, strict=True)
         ]
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.of_id.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of one document's ids."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return ""
+        places = np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(ends[-1])
+        text = self.blob[places].tobytes().decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -243,7 +253,13 @@ def decoded(docs: DataFrame, model_path: str, ids_col: str = "piece_ids", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(model_path)
         for batch in batches:
-            found = [None if ids is None else model.decode(ids) for ids in batch.column(at).to_pylist()]
+            lists = batch.column(at)
+            flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
+            known = lists.is_valid().to_pylist()
+            found = [
+                model.decode(flat[a:b]) if own else None
+                for own, a, b in zip(known, [0, *ends.tolist()], ends.tolist(), strict=False)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, text_col]
             )
