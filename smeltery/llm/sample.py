@@ -24,7 +24,14 @@ def hashed_below(key: str, share: Column) -> Column:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame, dict[int, int]]:
-    """``label, text`` of about ``sample`` documents per label, and how often each label occurs.
+    """``label, text`` of about ``sample`` documents per label, and how often each label occurs."""
+    return weighed_texts(docs, labels, sample)[:2]
+
+
+def weighed_texts(
+    docs: DataFrame, labels: DataFrame, sample: int
+) -> tuple[DataFrame, dict[int, int], dict[int, float]]:
+    """As ``labelled_texts``, and how many labelled ids each picked one of a label stands for.
 
     ``docs`` has ``id, text``, ``labels`` has ``id, label``; rows with a null do not count, nor do
     repeated labels of an id. The labels are picked first, by a hash of the id, so that the texts of
@@ -35,6 +42,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[Dat
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     chosen = cut(known.where(hashed_below("id", share_of("label", counts, sample))))
     # The pick is bounded in expectation; its size is known before it is sent to every task.
-    small = chosen.count() <= 4 * sample * max(1, len(counts))
+    taken = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
+    small = sum(taken.values()) <= 4 * sample * max(1, len(counts))
     texts = docs.where("text IS NOT NULL").join(F.broadcast(chosen) if small else chosen, "id")
-    return texts.groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text"), counts
+    picked = texts.groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")
+    return picked, counts, {label: counts[label] / n for label, n in taken.items()}

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from smeltery.llm.common import prepared, texts
 from smeltery.llm.fit import Rows, minimise
 from smeltery.llm.grams import codes, gram_hashes
-from smeltery.llm.sample import labelled_texts
+from smeltery.llm.sample import weighed_texts
 
 SIZES = (4, 5)
 BITS = 18
@@ -54,8 +54,10 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
-    """The model of sample texts given by their n-grams; without both classes all texts score 0."""
+def fit(rows: list[np.ndarray], toxic: np.ndarray, weighed: np.ndarray | None = None) -> Model:
+    """The model of sample texts given by their n-grams, each counting once or by its weight; without
+    both classes all texts score 0.
+    """
     weights = np.zeros(1 << BITS, np.float32)
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model(weights, -30.0)
@@ -72,12 +74,14 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model:
     scale = ratio[used]
     table, size = Rows(kept), int(used.sum())
     sign = np.where(toxic, 1.0, -1.0)
+    each = np.ones(len(sign)) if weighed is None else weighed
+    share = each / each.sum()
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         margin = sign * (table.times(x[:-1] * scale) + x[-1])
-        pull = -sign / (1 + np.exp(np.clip(margin, -50, 50))) / len(sign)
+        pull = -share * sign / (1 + np.exp(np.clip(margin, -50, 50)))
         slope = np.append(table.transposed_times(pull, size) * scale + PENALTY * x[:-1], pull.sum())
-        return float(np.logaddexp(0, -margin).mean() + PENALTY / 2 * x[:-1] @ x[:-1]), slope
+        return float(share @ np.logaddexp(0, -margin) + PENALTY / 2 * x[:-1] @ x[:-1]), slope
 
     found = minimise(loss, np.zeros(size + 1), STEPS)
     weights[used] = found[:-1] * scale
@@ -92,9 +96,10 @@ def held_out(id_col: str | Column, folds: int = 5) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on ``docs`` (id, text) and ``labels`` (id, label 0 or 1), of which ``sample`` rows of each
-    class are used, picked by a hash of the id; the class with fewer rows is used whole.
+    class are used, picked by a hash of the id and weighed so that the classes keep their shares; a
+    class with fewer rows is used whole.
     """
-    picked, _ = labelled_texts(docs, labels.where("label IN (0, 1)"), sample)
+    picked, _, weights = weighed_texts(docs, labels.where("label IN (0, 1)"), sample)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -105,7 +110,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     found = picked.mapInPandas(extract, "label int, grams binary").toPandas()
     # The order in which tasks end must not change the sums.
     found = found.sort_values(["label", "grams"], ignore_index=True)
-    return fit([np.frombuffer(g, "<u4") for g in found["grams"]], found["label"].to_numpy() == 1)
+    weighed = found["label"].map(weights).to_numpy(float)
+    return fit([np.frombuffer(g, "<u4") for g in found["grams"]], found["label"].to_numpy() == 1, weighed)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
