@@ -53,6 +53,29 @@ def _length(text: Column, least: int, most: int) -> Column:
     return F.length(_digits(text)).between(least, most)
 
 
+# Characters of an account number by country, as registered.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO EG GT HN HU LB NI PL SV", 29: "BR PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """An account number of its country's length with no letter or digit behind it, in blocks of four
+    with or without blanks; failing that, any run of such blocks, as far as it goes.
+    """
+    fixed = [
+        f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}"
+        + (f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else "")
+        for length, names in _IBAN_LENGTHS.items()
+    ]
+    free = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    return f"(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{'|'.join(fixed)})(?![A-Za-z0-9])|{free})"
+
+
 @dataclass(frozen=True)
 class Kind:
     """A pattern, its check, the score of a confirmed span, and words that raise it.
@@ -108,7 +131,7 @@ KINDS = (
     # Beyond the base kinds: account numbers, which a second checksum confirms.
     Kind(
         "iban",
-        r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+        _iban(),
         mod97,
         0.8,
         "iban|account|bank|konto|compte|cuenta",
@@ -179,7 +202,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Positions count code points, the end is exclusive, spans come by kind as listed, then start. Per
     kind the matches are leftmost and non-overlapping; those that fail their check are dropped
-    without another try. Spans of different kinds may overlap. The score is the kind's own, raised by
+    without another try. An account number ends at its country's registered length if no letter or
+    digit follows, so words behind it do not join it; other countries' numbers end where the run of
+    blocks of four ends. Spans of different kinds may overlap. The score is the kind's own, raised by
     0.1 if a context word stands within 40 characters before or after (not beyond the kind's next
     match); it drops no span.
 

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from smeltery.llm import toxicity
+from smeltery.llm import pii, toxicity
 from smeltery.llm.common import cut
 
 
@@ -31,3 +31,45 @@ def test_sampled_toxicity_keeps_the_class_mix(spark):
     grams = [toxicity.features(t) for _, t in rows]
     toxic = np.array([m == 1 for _, m in marks])
     assert toxicity.fit(grams, toxic).bias == pytest.approx(whole.bias, abs=1e-3)
+
+
+IBANS = (
+    "ES91 2100 0418 4502 0005 1332",
+    "ES9121000418450200051332",
+    "BE68 5390 0754 7034",
+    "SE4550000000058398257466",
+    "AT611904300234573201",
+    "DE89 3704 0044 0532 0130 00",
+    "NO93 8601 1117 947",
+    "MT84 MALT 0110 0001 2345 MTLC AST0 01S",
+)
+BEHIND = ("", " 2024", " BIC GKCCBEBB", " EUR", " SEK.", " and", ", 1234", " 1234 5678", " A", " EUR 100 AND MORE")
+
+
+def test_account_numbers_before_capitals_and_numbers(spark):
+    rows, places = [], {}
+    for number in IBANS:
+        for behind in BEHIND:
+            places[len(rows)] = [(5, 5 + len(number))]
+            rows.append((len(rows), f"Pay: {number}{behind}"))
+    # One after the other, with a word between, and a number whose check fails before a good one.
+    for first in IBANS:
+        for second in IBANS:
+            at = len(first) + 1
+            places[len(rows)] = [(0, len(first)), (at, at + len(second))]
+            rows.append((len(rows), f"{first} {second}"))
+    wrong = "AT61 1904 3002 3457 3202 "
+    places[len(rows)] = [(len(wrong), len(wrong) + len(IBANS[2]))]
+    rows.append((len(rows), wrong + IBANS[2]))
+    # Countries without a registered length are found as before.
+    places[len(rows)] = [(0, 20)]
+    rows.append((len(rows), f"ZZ{98 - int('19043002345732013535') * 100 % 97:02d}1904300234573201"))
+    frame = cut(spark.createDataFrame(rows, "doc_id long, text string"))
+    iban = tuple(k for k in pii.KINDS if k.name == "iban")
+    for r in pii.personal_data(frame, kinds=iban).collect():
+        assert [(s["start"], s["end"]) for s in r["spans"]] == places[r["id"]], rows[r["id"]]
+    for r in pii.without_personal_data(frame, kinds=iban).collect():
+        text = rows[r["doc_id"]][1]
+        for start, end in reversed(places[r["doc_id"]]):
+            text = f"{text[:start]}[IBAN]{text[end:]}"
+        assert r["text"] == text
