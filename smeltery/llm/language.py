@@ -138,16 +138,17 @@ def held_out(id_col: str | Column) -> Column:
 def train(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE) -> Model:
     """Learn from rows of a text and its language; rows without either are left out.
 
-    About ``sample`` texts of each language are used, picked by a hash of the text; the n-gram counts
-    of a language are added up by Spark, and what reaches the driver has ``2 ** BITS`` counts for each.
+    About ``sample`` distinct texts of each language are used, picked by a hash of the text, all if there
+    are no more; each counts once. The n-gram counts of a language are added up by Spark, and what reaches the driver has ``2 ** BITS`` counts for each.
     """
     prepared(labelled.sparkSession)
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    distinct = known.select("lang", F.xxhash64("text").alias("text")).distinct()
+    most = distinct.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     counts = {r["lang"]: r["count"] for r in most}
-    picked = known.where(F.col("lang").isin(*counts)).where(hashed_below("text", share_of("lang", counts, sample)))
+    picked = known.where(F.col("lang").isin(*counts)).where(hashed_below("text", share_of("lang", counts, sample))).distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}
@@ -229,8 +230,8 @@ def language(
     ``languages`` the selected set, largest first; a tie goes to the first in the alphabet.
 
     A text that is null or has no letter is ``und`` with score 0 and no languages, as is every text
-    if nothing could be learned. A null id is not held out. Repeated rows are learned and judged like
-    others. An empty table gives no rows. Only the named columns are read; texts are read whole.
+    if nothing could be learned. A null id is not held out. Repeated texts of a language are learned
+    once, repeated rows are judged like others. An empty table gives no rows. Only the named columns are read; texts are read whole.
     """
     model = train(docs.where(~held_out(id_col)), text_col, lang_col, sample)
     return identified(docs, model, id_col, text_col).select(

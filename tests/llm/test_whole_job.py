@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from smeltery.llm import pii, toxicity
+from smeltery.llm import language, pii, toxicity
 from smeltery.llm.common import cut
 
 
@@ -73,3 +73,16 @@ def test_account_numbers_before_capitals_and_numbers(spark):
         for start, end in reversed(places[r["doc_id"]]):
             text = f"{text[:start]}[IBAN]{text[end:]}"
         assert r["text"] == text
+
+
+def test_copies_neither_hide_nor_fill_a_language(spark):
+    draw = random.Random(5)
+    letters = {"aa": "abcdefgh", "bb": "stuvwxyz"}
+    some = {k: ["".join(draw.choices(v + " ", k=80)) for _ in range(n)] for (k, v), n in zip(letters.items(), (60, 5))}
+    once = [(t, k) for k, found in some.items() for t in found]
+    copies = once + [(t, "bb") for t in some["bb"] for _ in range(600)] + [(some["aa"][7], "aa")] * 900
+    frame = cut(spark.createDataFrame(copies, "text string, lang string"))
+    plain = cut(spark.createDataFrame(once, "text string, lang string"))
+    model, expected = (language.train(f, "text", "lang", 20) for f in (frame, plain))
+    assert model.languages == ("aa", "bb")
+    assert np.array_equal(model.chances, expected.chances)
