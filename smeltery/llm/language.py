@@ -19,21 +19,21 @@ from pyspark.sql import functions as F
 
 from smeltery.llm.common import prepared, texts
 from smeltery.llm.grams import gram_hashes
-from smeltery.llm.sample import hashed_below, share_of
+from smeltery.llm.sample import hashed_below
 
 SIZE = 3
 BITS = 16
 # The documented bound of the training sample: so many texts of each language are expected.
 SAMPLE = 4000
-# Languages learned, the most frequent first; it bounds the model.
-LANGUAGES = 256
 SMOOTH = 0.5
 # Rounds of expectation-maximisation.
 ROUNDS = 12
 # Log-likelihood that each further language must be worth, times the log of the n-gram count.
 PENALTY = 3.0
-# Characters of the documents estimated together.
-CHUNK = 1 << 20
+# Characters of the documents estimated together, times the languages.
+CHUNK = 1 << 22
+# Languages whose counts a task holds at once.
+HELD = 64
 UNKNOWN = "und"
 
 
@@ -146,9 +146,10 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPL
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
     distinct = known.select("lang", F.xxhash64("text").alias("text")).distinct()
-    most = distinct.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    counts = {r["lang"]: r["count"] for r in most}
-    picked = known.where(F.col("lang").isin(*counts)).where(hashed_below("text", share_of("lang", counts, sample))).distinct()
+    # A row per language, whatever the corpus.
+    shares = distinct.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(sample) / F.count("*")).alias("share"))
+    picked = known.join(F.broadcast(shares), "lang").where(hashed_below("text", F.col("share")))
+    picked = picked.select("lang", "text").distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}
@@ -158,18 +159,28 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPL
                 for text in part["text"]:
                     found, n = np.unique(grams(text), return_counts=True)
                     held[found] += n
+                if len(totals) >= HELD:
+                    yield from drained(totals)
+        yield from drained(totals)
+
+    def drained(totals: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
         for lang, held in totals.items():
             some = np.flatnonzero(held)
             yield pd.DataFrame({"lang": lang, "gram": some, "n": held[some]})
+        totals.clear()
 
     counted = (
-        picked.select("lang", "text").mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        picked.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     found = counted.toPandas()
     languages = tuple(sorted(found["lang"].unique()))
-    table = np.full((1 << BITS, len(languages)), SMOOTH)
-    table[found["gram"], np.searchsorted(languages, found["lang"])] += found["n"]
-    return Model(languages, (table / table.sum(0)).astype(np.float32))
+    chances = np.empty((1 << BITS, len(languages)), np.float32)
+    of = dict(iter(found.groupby("lang")))
+    for i, lang in enumerate(languages):
+        held = np.full(1 << BITS, SMOOTH)
+        held[of[lang]["gram"]] += of[lang]["n"]
+        chances[:, i] = held / held.sum()
+    return Model(languages, chances)
 
 
 def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,7 +203,7 @@ def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             # A text without letters is blanks alone, which make no n-gram.
             waiting.append(np.unique(found, return_counts=True) if len(found) else None)
             size += len(found)
-            if size >= CHUNK:
+            if size * max(1, len(shared.value.languages)) >= CHUNK:
                 yield from done()
                 size = 0
         yield from done()

@@ -86,3 +86,14 @@ def test_copies_neither_hide_nor_fill_a_language(spark):
     model, expected = (language.train(f, "text", "lang", 20) for f in (frame, plain))
     assert model.languages == ("aa", "bb")
     assert np.array_equal(model.chances, expected.chances)
+
+
+def test_every_language_is_learned(spark):
+    draw = random.Random(8)
+    words = {f"l{i:03d}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(6)] for i in range(300)}
+    rows = [(i, " ".join(draw.choices(w, k=20)), lang) for i, (lang, w) in enumerate(list(words.items()) * 2)]
+    frame = cut(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    model = language.train(frame, "text", "lang")
+    assert model.languages == tuple(words)
+    found = language.identified(frame, model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {i: lang for i, _, lang in rows}
