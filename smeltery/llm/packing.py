@@ -42,12 +42,13 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its
     words in a row. In plain Latin-1 texts they are merged here, by the tokenizer's own table; other
-    texts and very long words go to the tokenizer itself.
+    texts, those that hold a special token and very long words go to the tokenizer itself.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Strings that the tokenizer takes as one special token wherever they stand.
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         model = json.loads(self.tokenizer.to_str())["model"]
         vocabulary, suffix = model["vocab"], model["end_of_word_suffix"]
@@ -106,7 +107,9 @@ class WordEncoder:
         # Lower-casing first brings the forms of a word together; it is the tokenizer's own where
         # each character has one lower-case form, as in Latin-1.
         ours = [(t.isascii() or max(t) <= "\xff") and _ODD_SPACE.isdisjoint(t) for t in texts_]
-        split = [t.lower().split() if own else [] for t, own in zip(texts_, ours, strict=True)]
+        lower = [t.lower() if own else "" for t, own in zip(texts_, ours, strict=True)]
+        ours = [own and not any(s in t for s in self.special) for t, own in zip(lower, ours, strict=True)]
+        split = [t.split() if own else [] for t, own in zip(lower, ours, strict=True)]
         new = set().union(*split).difference(self.known)
         ids = self.learn(new) if new else {}
         if len(self.known) + len(ids) <= MEMORY:

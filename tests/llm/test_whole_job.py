@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
-from smeltery.llm import language, pii, toxicity
+from smeltery.llm import language, packing, pii, toxicity
 from smeltery.llm.common import cut
 
 
@@ -97,3 +99,12 @@ def test_every_language_is_learned(spark):
     assert model.languages == tuple(words)
     found = language.identified(frame, model).collect()
     assert {r["doc_id"]: r["lang_pred"] for r in found} == {i: lang for i, _, lang in rows}
+
+
+def test_special_strings_are_encoded_as_by_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    odd = ["a <|startoftext|> b", "x<|endoftext|>y", "<|ENDOFTEXT|> é", "É <|endoftext|> ’", "<|end oftext|>", "plain"]
+    plain = [library.encode(t, add_special_tokens=False).ids for t in odd]
+    assert 49407 in plain[1] and 49406 in plain[0]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.WordEncoder(path)(odd)] == plain
