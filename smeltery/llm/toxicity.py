@@ -24,7 +24,7 @@ from smeltery.llm.sample import weighed_texts
 SIZES = (4, 5)
 BITS = 18
 # The documented bound of the training sample: so many labelled rows of each class are expected.
-SAMPLE = 2000
+SAMPLE = 3000
 SMOOTH = 1.0
 PENALTY = 1e-3
 STEPS = 60

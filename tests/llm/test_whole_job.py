@@ -108,3 +108,7 @@ def test_special_strings_are_encoded_as_by_the_library():
     plain = [library.encode(t, add_special_tokens=False).ids for t in odd]
     assert 49407 in plain[1] and 49406 in plain[0]
     assert [np.frombuffer(b, "<u4").tolist() for b in packing.WordEncoder(path)(odd)] == plain
+
+
+def test_toxicity_sample_is_not_cut():
+    assert toxicity.SAMPLE >= 3000
