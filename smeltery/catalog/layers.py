@@ -296,7 +296,7 @@ def backfill_run(t: Tables) -> DataFrame:
     bronze.land(
         pages.withColumn("value", F.when(F.col("season") == 5, lost).otherwise(F.col("value"))), base, RACE_EVENTS
     )
-    weeks = [r[0] for r in t.events.select(F.weekofyear("ts")).distinct().where("weekofyear(ts) <= 5").collect()]
+    weeks = [r[0] for r in t.events.where("ts IS NOT NULL").select(F.weekofyear("ts")).distinct().collect()]
     runs = run_seasons(t.spark, base, silver, sorted(weeks), [RACE_EVENTS])
     return backfill_summary(runs).withColumn("failed_season_list", F.array_join("failed_season_list", ","))
 

@@ -28,8 +28,10 @@ from smeltery.llm.common import cut, mix64, partitions, prepared, row_number_key
 
 WORDS = 5
 THRESHOLD = 0.8
-# 32 bands of 5 values: a pair at 0.8 shares no bucket with a probability of 3 in a million.
+# 32 bands of 5 values, at 0.8 and above: a pair at 0.8 shares no bucket with a probability of 3 in a million.
 BANDS, ROWS = 32, 5
+# What a pair at any threshold may miss by; lower thresholds take fewer values in each band.
+MISSED = (1 - THRESHOLD**ROWS) ** BANDS
 STEP = 32
 TOLERANCE = 1e-8
 # Texts of one block of a bucket, and candidate pairs compared at once.
@@ -76,10 +78,18 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (mix64(least) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
+def bands_of(threshold: float) -> tuple[int, int]:
+    """Bands and values of each: the longest with which a pair at the threshold is missed no more often."""
+    for rows in range(ROWS, 0, -1):
+        if (1 - threshold**rows) ** (_COUNT // rows) <= MISSED:
+            return _COUNT // rows, rows
+    raise ValueError(f"no bands find pairs at a threshold of {threshold}; the lowest is {1 - MISSED ** (1 / _COUNT):.3f}")
+
+
+def band_keys(values: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """A bucket key for each band of a signature."""
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in values.reshape(BANDS, ROWS).T:
+    key = np.arange(1, bands + 1, dtype=np.uint64)
+    for column in values[: bands * rows].reshape(bands, rows).T:
         key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64))
     return key.view(np.int64)
 
@@ -108,7 +118,9 @@ def survivors(values: np.ndarray, left: np.ndarray, right: np.ndarray, band: np.
         matches = matches + (values[left[kept], part] == values[right[kept], part]).sum(1)
         good = matches >= least_matches(min(at + STEP, _COUNT), threshold, tolerance)
         kept, matches = kept[good], matches[good]
-    shared = (values[left[kept]] == values[right[kept]]).reshape(-1, BANDS, ROWS).all(2)
+    bands, rows = bands_of(threshold)
+    equal = values[left[kept], : bands * rows] == values[right[kept], : bands * rows]
+    shared = equal.reshape(-1, bands, rows).all(2)
     return kept[shared.argmax(1) == band[kept]]
 
 
@@ -297,8 +309,9 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(row_number_key().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
 
-def _signed(source: DataFrame) -> DataFrame:
+def _signed(source: DataFrame, threshold: float) -> DataFrame:
     """``row, id, set (digest), sig, keys`` of every row; the last three null without words."""
+    bands, rows = bands_of(threshold)
     kind = source.schema["id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +322,7 @@ def _signed(source: DataFrame) -> DataFrame:
                 values = signature(found) if len(found) else None
                 digests.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
                 signatures.append(None if values is None else values.tobytes())
-                keys.append(None if values is None else band_keys(values))
+                keys.append(None if values is None else band_keys(values, bands, rows))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -330,7 +343,7 @@ def _memberships(
     """``row, id, class (smallest (id, row) of it), n_links, n_sets`` of every row."""
     spark = prepared(docs.sparkSession)
     source = _source(docs, id_col, text_col)
-    signed = cut(_signed(source))
+    signed = cut(_signed(source, threshold))
     place = F.struct(F.col("id").isNull().alias("no"), F.col("id"), F.col("row"))
     sets = cut(
         signed.where("set IS NOT NULL")
@@ -422,8 +435,8 @@ def jaccard_classes(
 
     A text of one to four words is a single shingle of them all. Null, empty and wordless texts have
     no shingles, are linked to nothing and form classes of their own. A null id sorts last, so it is a
-    class's id only if the class has no other. Repeated rows count as further copies. Empty table: no
-    rows. Only the two named columns are read. The frame must give its rows in the same order each
+    class's id only if the class has no other. Repeated rows count as further copies. A threshold for
+    which no bands find pairs as surely as at 0.8 is an error (below 0.077). Empty table: no rows. Only the two named columns are read. The frame must give its rows in the same order each
     time it is read, as files do; checkpoint any other first.
     """
     return _memberships(docs, id_col, text_col, threshold, tolerance).select(

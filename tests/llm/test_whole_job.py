@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from smeltery.llm import language, packing, pii, toxicity
+from smeltery.llm import jaccard_join, language, packing, pii, toxicity
 from smeltery.llm.common import cut
 
 
@@ -112,3 +112,17 @@ def test_special_strings_are_encoded_as_by_the_library():
 
 def test_toxicity_sample_is_not_cut():
     assert toxicity.SAMPLE >= 3000
+
+
+def test_bands_cover_lower_thresholds():
+    shared = np.random.default_rng(4)
+    met = 0
+    bands, rows = jaccard_join.bands_of(0.5)
+    for _ in range(200):
+        common, a, b = (shared.integers(0, 2**63, n, dtype=np.uint64) for n in (200, 100, 100))
+        one, two = (jaccard_join.signature(np.unique(np.concatenate((common, x)))) for x in (a, b))
+        met += bool((jaccard_join.band_keys(one, bands, rows) == jaccard_join.band_keys(two, bands, rows)).any())
+    assert met == 200
+    assert jaccard_join.bands_of(0.8) == (jaccard_join.BANDS, jaccard_join.ROWS)
+    with pytest.raises(ValueError):
+        jaccard_join.bands_of(0.05)
