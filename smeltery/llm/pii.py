@@ -58,7 +58,7 @@ _IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
     21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
     24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
-    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO EG GT HN HU LB NI PL SV", 29: "BR PS QA UA",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
     30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from smeltery.llm.common import prepared, texts
 from smeltery.llm.fit import Rows, minimise
 from smeltery.llm.grams import word_hashes
-from smeltery.llm.sample import labelled_texts
+from smeltery.llm.sample import weighed_texts
 from smeltery.llm.toxicity import held_out
 
 BITS = 18
@@ -114,7 +114,8 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, sample: int = SAMPLE
     About ``sample`` texts of each grade are used, picked by a hash of the id and weighed so that the
     grades keep their shares. Without ratings every text is alike.
     """
-    picked, counts = labelled_texts(docs, ratings.where(F.col("label").between(0, levels - 1)), sample)
+    known = ratings.where(F.col("label").between(0, levels - 1))
+    picked, _, stands_for = weighed_texts(docs, known, sample)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -139,9 +140,8 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, sample: int = SAMPLE
         [np.frombuffer(c, "<u4").astype(np.int64) for c in found["columns"]],
         [np.frombuffer(v, "<f4").astype(float) for v in found["values"]],
     )
-    weights = np.array([counts[g] / (grades == g).sum() for g in range(levels) if (grades == g).any()])
-    place = np.cumsum([(grades == g).any() for g in range(levels)]) - 1
-    return fit(table, grades, weights[place[grades]], levels)
+    weights = np.array([stands_for.get(g, 0.0) for g in range(levels)])
+    return fit(table, grades, weights[grades], levels)
 
 
 def graded(

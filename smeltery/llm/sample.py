@@ -23,15 +23,11 @@ def hashed_below(key: str, share: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(_PARTS)) < share * _PARTS
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame, dict[int, int]]:
-    """``label, text`` of about ``sample`` documents per label, and how often each label occurs."""
-    return weighed_texts(docs, labels, sample)[:2]
-
-
 def weighed_texts(
     docs: DataFrame, labels: DataFrame, sample: int
 ) -> tuple[DataFrame, dict[int, int], dict[int, float]]:
-    """As ``labelled_texts``, and how many labelled ids each picked one of a label stands for.
+    """``label, text`` of about ``sample`` documents per label, how often each label occurs, and how
+    many labelled ids each picked one of a label stands for.
 
     ``docs`` has ``id, text``, ``labels`` has ``id, label``; rows with a null do not count, nor do
     repeated labels of an id. The labels are picked first, by a hash of the id, so that the texts of
