@@ -20,13 +20,17 @@ TABLES = (
 ).split()
 
 
-def connect(folder: str) -> duckdb.DuckDBPyConnection:
+def connect_to(files: dict[str, str]) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    for table, path in files.items():
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
     return con
 
 
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    return connect_to({table: f"{folder}/{table}.parquet" for table in TABLES})
+
+
 def _cell(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)

@@ -7,6 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+
+from oracle import connect_to, difference
+from smeltery.catalog.registry import QUERIES
 from smeltery.functions.keys import object_key, page_count, parquet_key
 from smeltery.operators.audit import run_status
 from smeltery.operators.quality import CorruptPagesError, reconcile, page_payloads
@@ -278,3 +282,14 @@ def test_scratch_follows_the_session():
     Session.conf = {}
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Session, "x")
+
+
+@pytest.mark.parametrize("name", ["backfill_run"])
+def test_runs_over_ten_weeks_match_their_sql(spark, tmp_path, name):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    later = events.withColumn("ts", F.expr("ts + make_interval(0, 0, cast(event_id % 10 as int))"))
+    spread = later.where("weekofyear(ts) <= 10")
+    spread.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert spread.select(F.weekofyear("ts")).distinct().count() == 10
+    con = connect_to({"events": f"{tmp_path}/events.parquet/*.parquet"})
+    assert difference(QUERIES[name].run(spark, str(tmp_path)), con, QUERIES[name].sql) == ""
