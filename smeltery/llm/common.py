@@ -67,6 +67,12 @@ def texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.R
         yield batch, [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def lowered_ascii(text: Column) -> Column:
+    """A-Z lower-cased, every other character as it is."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.translate(text, letters, letters.lower())
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads the bits of 64-bit integers (splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 
 from smeltery.catalog.registry import Query, Tables
 from smeltery.llm import sql
-from smeltery.llm.common import prepared
+from smeltery.llm.common import lowered_ascii, prepared
 from smeltery.llm.exact_dedup import exact_duplicates
 from smeltery.llm.jaccard_join import jaccard_classes
 from smeltery.llm.language import language
 from smeltery.llm.line_dedup import without_repeated_lines
+from smeltery.llm.merkle import merkle_manifest
 from smeltery.llm.packing import packed
 from smeltery.llm.pieces import decoded, encoded
 from smeltery.llm.pii import BASE, KINDS, personal_data
 from smeltery.llm.quality import quality
+from smeltery.llm.sharding import placed
 from smeltery.llm.topk import nearest
 from smeltery.llm.toxicity import toxicity
+from smeltery.llm.variants import spelling_variants
 
 LLM_QUERIES: dict[str, Query] = {}
 
@@ -113,3 +116,32 @@ def op5_pieces(t: Tables) -> DataFrame:
         F.xxhash64("piece_ids").alias("ids_hash"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+@_query(sql.VARIANTS)
+def op11_variants(t: Tables) -> DataFrame:
+    """Words as written but for a code point deleted here and there, picked by a checksum."""
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    mark = F.crc32(named.cast("binary"))
+    at = (mark % F.char_length("run")).cast("int")
+    shorter = F.concat(F.left("run", at), F.substring("run", at + 2, F.char_length("run")))
+    return spelling_variants(t.documents, F.when(mark % 199 == 0, shorter).otherwise(F.col("run")))
+
+
+@_query(sql.MERKLE)
+def op12_manifest(t: Tables) -> DataFrame:
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle_manifest(t.documents, marked, lowered_ascii(F.col("text")))
+
+
+@_query(None)
+def op13_shards(t: Tables) -> DataFrame:
+    return placed(t.documents, 40).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -100,3 +100,111 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+def _crc_row(n: int) -> int:
+    for _ in range(8):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+def crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of the UTF-8 bytes of a text, byte by byte over a table."""
+    digits = f"hex(encode({text}))"
+    each = f"list_transform(range(0, len({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)"
+    table = [_crc_row(n) for n in range(256)]
+    step = f"xor(c >> 8, {table}[xor(c & 255, b) + 1])"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {each}), lambda c, b: {step}))"
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# The 64 letters from U+00C0 on, and as many ASCII signs, so that bytes are letters.
+_LATIN = "".join(chr(0xC0 + i) for i in range(64))
+_SIGNS = _UPPER + "0123456789" + "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+
+VARIANTS = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), hashed AS (
+  SELECT run, times, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h
+  FROM (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL)
+), spelled AS (
+  SELECT times, CASE WHEN h % 199 = 0 THEN left(run, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n, translate(word, '{_LATIN}', '{_SIGNS[:64]}') AS plain
+  FROM spelled WHERE len(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM words a JOIN words b
+    ON abs(len(a.plain) - len(b.plain)) <= 1 AND levenshtein(a.plain, b.plain) = 1
+), best AS (
+  SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY ALL
+), judged AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * words.n THEN other END AS form,
+         CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word
+), chain AS (
+  SELECT word, word AS tip FROM judged
+  UNION ALL SELECT chain.word, judged.form FROM chain JOIN judged ON chain.tip = judged.word WHERE judged.form IS NOT NULL
+)
+SELECT judged.word, form, tip AS root, n, n_near, form_n FROM judged
+JOIN (SELECT chain.word, tip FROM chain JOIN judged ON tip = judged.word WHERE judged.form IS NULL) ends ON judged.word = ends.word
+"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR)) || ':' || {column}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _climb(leaves: str, nodes: str, branch: str) -> str:
+    """Recursive tables of the nodes over leaves (``<branch>, place, digest``), and of their runs of eight."""
+    more = f"count(*) OVER (PARTITION BY {branch}) > 1"
+    return f"""{nodes} AS (
+  SELECT {branch}, 0 AS level, place, digest, {more} AS more FROM {leaves}
+  UNION ALL
+  SELECT {branch}, level + 1, parent, digest, {more} FROM (
+    SELECT {branch}, level, place // 8 AS parent, sha256(string_agg(digest, '' ORDER BY place)) AS digest
+    FROM {nodes} WHERE more GROUP BY {branch}, level, place // 8)
+), {nodes}_runs AS (
+  SELECT {branch}, level, place // 8 AS parent, list(digest ORDER BY place) AS run FROM {nodes} WHERE more GROUP BY ALL
+)"""
+
+
+def _fold(name: str, start: str, runs: str, same: str) -> str:
+    """Recursive table that folds a digest and its siblings level by level over the runs of a tree."""
+    own = "f.place % 8"
+    return f"""{name} AS (
+  SELECT * FROM ({start})
+  UNION ALL
+  SELECT row, f.lang, f.level + 1, f.place // 8, sha256(array_to_string(run[1:{own}] || [digest] || run[{own} + 2:], '')),
+         beside || array_to_string(run[1:{own}] || run[{own} + 2:], '')
+  FROM {name} f JOIN {runs} r ON r.level = f.level AND r.parent = f.place // 8{same}
+)"""
+
+
+_TAMPERED = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, digest) - 1 AS place,
+         row_number() OVER () AS row
+  FROM (SELECT doc_id, lang, {_leaf("text")} AS digest,
+          CASE WHEN {crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(_TAMPERED)} ELSE {_leaf("text")} END AS forged FROM documents)
+), {_climb("leaves", "nodes", "lang")}, subroots AS (
+  SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, 0 AS whole FROM nodes WHERE NOT more
+), {_climb("subroots", "upper", "whole")}, {
+    _fold("low", "SELECT row, lang, 0 AS level, place, forged AS digest, '' AS beside FROM leaves",
+          "nodes_runs", " AND r.lang IS NOT DISTINCT FROM f.lang")
+}, tops AS (
+  SELECT arg_max(low, level) AS f FROM low GROUP BY row
+), {
+    _fold("high", "SELECT f.row AS row, f.lang AS lang, 0 AS level, s.place, f.digest, f.beside FROM tops "
+          "JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang", "upper_runs", "")
+}, ends AS (SELECT arg_max(high, level) AS e FROM high GROUP BY row)
+SELECT doc_id, leaves.digest AS leaf, subroots.digest AS subroot, root, sha256(e.beside) AS proof_sha256,
+       e.digest AS folded_root, e.digest = root AS verified
+FROM leaves JOIN ends ON e.row = leaves.row JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang,
+     (SELECT digest AS root FROM upper WHERE NOT more)
+"""
