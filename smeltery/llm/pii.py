@@ -1,5 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, context words move the score.
 
+A score tells how sure a confirmed span is: each kind's own, raised where a word of its field stands
+nearby and lowered where one says that the value is made up. Spans of the base kinds always count;
+those of added kinds count from ``KEEP_FROM`` on, in the result and in masking alike.
+
 Everything is built from SQL functions. A pattern cuts a text into matches and the gaps between
 them; positions are running sums of their lengths in code points, and the words near a match are the
 ends of the gaps beside it, so a text is scanned once per kind and never searched again.
@@ -54,7 +58,7 @@ def _length(text: Column, least: int, most: int) -> Column:
 
 
 # Characters of an account number by country, as registered.
-_IBAN_LENGTHS = {
+LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
     21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
     24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
@@ -70,7 +74,7 @@ def _iban() -> str:
     fixed = [
         f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}"
         + (f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else "")
-        for length, names in _IBAN_LENGTHS.items()
+        for length, names in LENGTHS.items()
     ]
     free = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
     return f"(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{'|'.join(fixed)})(?![A-Za-z0-9])|{free})"
@@ -138,7 +142,26 @@ KINDS = (
     ),
 )
 BASE = KINDS[:4]
-BONUS = 0.1
+BONUS, MALUS = 0.1, 0.4
+# Whole words that call a value an example rather than somebody's; as part of an address they do not.
+MADE_UP = (
+    "(?:^|[^a-z@.])(?:example|sample|dummy|fictitious|beispiel|muster|exemple|fictif|ejemplo|ficticio)(?:[^a-z@.]|$)"
+)
+# Added kinds count from this score on.
+KEEP_FROM = 0.5
+
+
+def score_of(kind: Kind, before: Column, behind: Column) -> Column:
+    """The score of a span with these texts around it, of which the next 40 characters matter."""
+    around = F.lower(F.concat(F.right(before, F.lit(CONTEXT)), F.lit(" "), F.left(behind, F.lit(CONTEXT))))
+    raised = F.when(around.rlike(f"(?:{kind.words})"), F.lit(BONUS)).otherwise(F.lit(0.0))
+    lowered = F.when(around.rlike(MADE_UP), F.lit(MALUS)).otherwise(F.lit(0.0))
+    return F.round(F.lit(kind.score) + raised - lowered, 2)
+
+
+def counts(kind: Kind, score: Column) -> Column:
+    """Whether a confirmed span counts: always for the base kinds, by its score for added ones."""
+    return F.lit(True) if kind in BASE else score >= KEEP_FROM
 
 
 def _running(lengths: Column) -> Column:
@@ -173,23 +196,18 @@ def with_spans(docs: DataFrame, text: str, kind: Kind, out: str) -> DataFrame:
     )
     steps = steps.withColumn(starts, F.when(any_, pairs))
     steps = steps.withColumn(starts, F.when(any_, _running(F.col(starts))))
-    near = lambda g: F.lower(g).rlike(rf"(?:{kind.words})")
     spans = F.transform(
         found,
         lambda m, i: F.struct(
             F.lit(kind.name).alias("kind"),
             (F.col(starts)[i] + F.char_length(F.col(gaps)[i])).alias("start"),
             (F.col(starts)[i] + F.char_length(F.col(gaps)[i]) + F.char_length(m)).alias("end"),
-            F.when(
-                near(F.right(F.col(gaps)[i], F.lit(CONTEXT))) | near(F.left(F.col(gaps)[i + 1], F.lit(CONTEXT))),
-                F.lit(kind.score + BONUS),
-            )
-            .otherwise(F.lit(kind.score))
-            .alias("score"),
+            score_of(kind, F.col(gaps)[i], F.col(gaps)[i + 1]).alias("score"),
             m.alias("value"),
         ),
     )
-    steps = steps.withColumn(span, F.when(any_, F.filter(spans, lambda s: kind.check(s["value"]))))
+    sure = F.filter(spans, lambda s: kind.check(s["value"]) & counts(kind, s["score"]))
+    steps = steps.withColumn(span, F.when(any_, sure))
     kept = F.coalesce(span, F.array().cast(_SPANS))
     return steps.withColumn(out, kept).drop(found, gaps, starts, span)
 
@@ -205,8 +223,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     without another try. An account number ends at its country's registered length if no letter or
     digit follows, so words behind it do not join it; other countries' numbers end where the run of
     blocks of four ends. Spans of different kinds may overlap. The score is the kind's own, raised by
-    0.1 if a context word stands within 40 characters before or after (not beyond the kind's next
-    match); it drops no span.
+    0.1 if one of its context words stands within 40 characters before or after (not beyond the kind's
+    next match) and lowered by 0.4 if a word for an example does. Spans of base kinds are kept whatever
+    their score, those of added kinds (account numbers) from 0.5 on.
 
     A null text counts as empty and has no spans; null ids and repeated rows are rows like others;
     an empty table gives no rows. Only the two named columns are read. Long texts are read whole.
@@ -219,10 +238,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def masked(text: Column, kind: Kind) -> Column:
-    """A text with the confirmed matches of one kind replaced by its name in brackets."""
+    """A text with the spans of one kind that count replaced by its name in brackets."""
     tag = F.lit(f"[{kind.name.upper()}]")
     found, gaps = kind.matches(text), F.split(text, kind.pattern, -1)
-    swapped = F.transform(found, lambda m: F.when(kind.check(m), tag).otherwise(m))
+
+    def sure(m: Column, i: Column) -> Column:
+        return kind.check(m) if kind in BASE else kind.check(m) & counts(kind, score_of(kind, gaps[i], gaps[i + 1]))
+
+    swapped = F.transform(found, lambda m, i: F.when(sure(m, i), tag).otherwise(m))
     whole = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size(found)), swapped, lambda g, m: F.concat(g, m)), ""), F.element_at(gaps, -1))
     return F.when(F.contains(text, F.lit(kind.sign)) & text.rlike(kind.pattern), whole).otherwise(text)
 
@@ -232,10 +255,13 @@ MASK_ORDER = ("iban", "email", "phone", "card", "ip")
 
 
 def without_personal_data(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """The documents, all columns kept, with confirmed personal data masked as ``[KIND]``.
+    """The documents, all columns kept, with personal data masked as ``[KIND]``.
 
-    Kinds are masked one after the other, so overlapping spans are masked once, by the first kind of
-    ``MASK_ORDER``. Null texts stay null; every row stays; texts of any length are masked whole.
+    What counts is what ``personal_data`` keeps: confirmed spans, of added kinds those with a score of
+    at least 0.5 by the words around them. Kinds are masked one after the other, so overlapping spans
+    are masked once, by the first kind of ``MASK_ORDER``. Null texts stay null and empty ones empty; every
+    row stays, repeated rows alike; an empty table gives no rows. Only the text column is replaced, so
+    further columns, of whatever name, stay as they are. Texts of any length are masked whole.
     """
     prepared(docs.sparkSession)
     by_name = {k.name: k for k in kinds}

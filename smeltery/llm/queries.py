@@ -18,7 +18,7 @@ from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.merkle import merkle_manifest
 from smeltery.llm.packing import packed
 from smeltery.llm.pieces import decoded, encoded
-from smeltery.llm.pii import BASE, KINDS, personal_data
+from smeltery.llm.pii import BASE, KEEP_FROM, KINDS, LENGTHS, MADE_UP, personal_data
 from smeltery.llm.quality import quality
 from smeltery.llm.sharding import placed
 from smeltery.llm.topk import nearest
@@ -53,7 +53,7 @@ def op7_packing(t: Tables) -> DataFrame:
     return packed(t.documents, path("word_bpe_49k.json"))
 
 
-@_query(sql.pii(KINDS, BASE))
+@_query(sql.pii(KINDS, BASE, LENGTHS, MADE_UP, KEEP_FROM))
 def op8_pii(t: Tables) -> DataFrame:
     base = {k.name for k in BASE}
 
@@ -71,6 +71,7 @@ def op8_pii(t: Tables) -> DataFrame:
         ],
         F.sha2(joined(ours), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.concat_ws(",", F.transform("spans", lambda s: s["score"].cast("string"))).alias("scores"),
     )
 
 

@@ -49,7 +49,7 @@ _PII = {
     ),
     "phone": (r"\+[0-9][ ().0-9-]+[0-9]", "len(digits) BETWEEN 9 AND 15"),
     "iban": (
-        r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+        "",
         "list_reduce(list_prepend(0, list_transform(string_split(substr(plain, 5) || substr(plain, 1, 4), ''),"
         " lambda x: CASE WHEN x BETWEEN '0' AND '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END)),"
         " lambda a, v: CASE WHEN v > 9 THEN a * 100 + v ELSE a * 10 + v END % 97) = 1",
@@ -57,19 +57,33 @@ _PII = {
 }
 
 
-def pii(kinds: tuple, base: tuple) -> str:
+def _iban(lengths: dict[int, str]) -> str:
+    """Account numbers by the length of their country, then any run of blocks of four."""
+    fixed = [
+        f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, names in lengths.items()
+    ]
+    return rf"(?:{'|'.join(fixed)})\b|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+
+
+def pii(kinds: tuple, base: tuple, lengths: dict[int, str], made_up: str, keep_from: float) -> str:
+    plain = {name: pattern for name, (pattern, _) in _PII.items()} | {"iban": _iban(lengths)}
     parts = [
         f"""
-  SELECT doc_id, {place} AS place, '{kind.name}' AS kind, start, start + len(m) AS stop
-  FROM (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS plain,
+  SELECT doc_id, {place} AS place, '{kind.name}' AS kind, start, start + len(m) AS stop, score
+  FROM (SELECT *, round({kind.score} + CASE WHEN regexp_matches(around, '{kind.words}') THEN 0.1 ELSE 0 END
+                 - CASE WHEN regexp_matches(around, '{made_up}') THEN 0.4 ELSE 0 END, 2)::DOUBLE AS score FROM (
+        SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS plain,
                sum(len(g)) OVER (PARTITION BY doc_id ORDER BY i)
                + coalesce(sum(len(m)) OVER (PARTITION BY doc_id ORDER BY i
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-        FROM (SELECT doc_id, unnest(found) AS m, unnest(gaps[1:len(found)]) AS g, unnest(range(0, len(found))) AS i
-              FROM (SELECT doc_id, regexp_extract_all(text, '{_PII[kind.name][0]}') AS found,
-                           string_split_regex(text, '{_PII[kind.name][0]}') AS gaps
-                    FROM documents WHERE regexp_matches(text, '{_PII[kind.name][0]}'))))
-  WHERE {_PII[kind.name][1]}"""
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+               lower(right(g, 40) || ' ' || left(after, 40)) AS around
+        FROM (SELECT doc_id, unnest(found) AS m, unnest(gaps[1:len(found)]) AS g, unnest(gaps[2:]) AS after,
+                     unnest(range(0, len(found))) AS i
+              FROM (SELECT doc_id, regexp_extract_all(text, '{plain[kind.name]}') AS found,
+                           string_split_regex(text, '{plain[kind.name]}') AS gaps
+                    FROM documents WHERE regexp_matches(text, '{plain[kind.name]}')))))
+  WHERE {_PII[kind.name][1]} AND {"true" if kind in base else f"score >= {keep_from}"}"""
         for place, kind in enumerate(kinds)
     ]
     counts = ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in base)
@@ -80,10 +94,11 @@ WITH s AS ({" UNION ALL ".join(parts)}
   SELECT doc_id, {counts},
          string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY place, start) AS spans,
          string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY place, start)
-           FILTER (place < {len(base)}) AS base
+           FILTER (place < {len(base)}) AS base,
+         string_agg(score::VARCHAR, ',' ORDER BY place, start) AS scores
   FROM s GROUP BY doc_id
 )
-SELECT d.doc_id, {names}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+SELECT d.doc_id, {names}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id
 """
 

@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import defaultdict
 
+from smeltery.llm.pii import LENGTHS
+
 
 def shingle_set(text: str | None) -> frozenset:
     words = re.findall(r"\w+", (text or "").lower())
@@ -61,12 +63,84 @@ def line_dedup(rows: list[tuple[int, str | None]]) -> dict[int, str | None]:
 
 
 _MASKS = {
-    "IBAN": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+    "IBAN": "",
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "PHONE": r"\+[0-9][ ().0-9-]+[0-9]",
     "CARD": r"[0-9](?:[ -]?[0-9])+",
     "IP": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
 }
+_SCORES = {"EMAIL": 0.9, "IP": 0.6, "CARD": 0.7, "PHONE": 0.6, "IBAN": 0.8}
+_WORDS = {
+    "EMAIL": "mail|contact|write|kontakt|correo",
+    "IP": "ip|address|host|server|adresse",
+    "CARD": "card|visa|credit|karte|carte|tarjeta",
+    "PHONE": "phone|call|tel|fax|mobile",
+    "IBAN": "iban|account|bank|konto|compte|cuenta",
+}
+_EXAMPLES = "example sample dummy fictitious beispiel muster exemple fictif ejemplo ficticio".split()
+_SIZES = {name: n for n, names in LENGTHS.items() for name in names.split()}
+
+
+def _account_end(text: str, at: int) -> int | None:
+    """Where an account number that starts here ends, block by block."""
+
+    def upper(i: int, n: int) -> bool:
+        part = text[i : i + n]
+        return len(part) == n and all(c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" for c in part)
+
+    def blocks(i: int, n: int) -> tuple[int, int]:
+        done = 0
+        while done < n:
+            start = i + (text[i : i + 1] == " ")
+            if not upper(start, 4):
+                break
+            i, done = start + 4, done + 1
+        return i, done
+
+    if not re.match("[A-Z]{2}[0-9]{2}", text[at : at + 4]):
+        return None
+    size = _SIZES.get(text[at : at + 2])
+    if size:
+        end, done = blocks(at + 4, size // 4 - 1)
+        if done == size // 4 - 1:
+            if size % 4:
+                start = end + (text[end : end + 1] == " ")
+                end = start + size % 4 if upper(start, size % 4) else None
+            if end is not None and not re.match("[A-Za-z0-9]", text[end : end + 1]):
+                return end
+    end, done = blocks(at + 4, 7)
+    if done < 2:
+        return None
+    start = end + (text[end : end + 1] == " ")
+    more = next((n for n in (3, 2, 1) if upper(start, n)), 0)
+    return start + more if more else end
+
+
+def _found(kind: str, text: str) -> list[tuple[int, int]]:
+    if kind != "IBAN":
+        return [m.span() for m in re.finditer(_MASKS[kind], text)]
+    out, at = [], 0
+    while at < len(text):
+        end = _account_end(text, at)
+        if end is not None:
+            out.append((at, end))
+        at = at + 1 if end is None else end
+    return out
+
+
+def scored(kind: str, text: str) -> list[tuple[int, int, float]]:
+    """Confirmed spans that count, with the score the words around them give."""
+    found, out = _found(kind, text), []
+    for i, (a, b) in enumerate(found):
+        start = found[i - 1][1] if i else 0
+        end = found[i + 1][0] if i + 1 < len(found) else len(text)
+        around = [text[max(start, a - 40) : a].lower(), text[b : min(end, b + 40)].lower()]
+        score = _SCORES[kind] + 0.1 * any(re.search(_WORDS[kind], t) for t in around)
+        joined = " ".join(around)
+        score -= 0.4 * any(re.search(rf"(?:^|[^a-z@.]){w}(?:[^a-z@.]|$)", joined) for w in _EXAMPLES)
+        if valid(kind, text[a:b]) and (kind != "IBAN" or round(score, 2) >= 0.5):
+            out.append((a, b, round(score, 2)))
+    return out
 
 
 def valid(kind: str, match: str) -> bool:
@@ -85,15 +159,13 @@ def valid(kind: str, match: str) -> bool:
 
 
 def spans(text: str | None, kinds: tuple[str, ...]) -> list[tuple[str, int, int]]:
-    return [
-        (k.lower(), m.start(), m.end()) for k in kinds for m in re.finditer(_MASKS[k], text or "") if valid(k, m[0])
-    ]
+    return [(k.lower(), a, b) for k in kinds for a, b, _ in scored(k, text or "")]
 
 
 def masked(text: str | None) -> str | None:
-    for kind, pattern in _MASKS.items():
-        if text is not None:
-            text = re.sub(pattern, lambda m, k=kind: f"[{k}]" if valid(k, m[0]) else m[0], text)
+    for kind in _MASKS:
+        for a, b, _ in reversed(scored(kind, text or "")):
+            text = f"{text[:a]}[{kind}]{text[b:]}"
     return text
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -64,14 +65,56 @@ def test_exact_duplicates(docs, empty):
 
 def test_filters_merge_without_loss():
     values = np.random.default_rng(1).integers(-(2**62), 2**62, 500)
-    values = np.concatenate((values, values[:50], values[:7]))
+    # Neighbours fill runs and push others on; the largest print lies past the last slot.
+    values = np.concatenate((values, values[:50], values[:7], values[3] + np.arange(40), [-1, -1, 0, 2**63 - 1]))
     make = exact_dedup.CountingQuotientFilter
+    expected = Counter(values.astype(np.int64).view(np.uint64).tolist())
     whole = make.of(values)
-    merged = make.merged([make.of(part) for part in np.array_split(values, 9)])
-    assert (whole.fingerprints() == merged.fingerprints()).all() and (whole.counts == merged.counts).all()
-    parts = [make.unpacked(**p.packed()) for _, p in whole.slices(6)]
-    assert (np.concatenate([p.fingerprints() for p in parts]) == whole.fingerprints()).all()
-    assert whole.counts.sum() == len(values) and (whole.counts == 3).sum() == 7
+    prints, counts = whole.entries()
+    assert dict(zip(prints.tolist(), counts.tolist(), strict=True)) == expected and (np.diff(prints) > 0).all()
+    assert whole.shifted.any() and whole.continuation.any()
+    parts = [make.of(part) for part in np.array_split(values, 9)]
+    for merged in (make.merged(parts), make.merged(parts[::-1])):
+        for name in ("remainders", "occupied", "continuation", "shifted", "counted", "counters"):
+            assert (getattr(merged, name) == getattr(whole, name)).all()
+    slices = [make.unpacked(p.packed()) for _, p in whole.slices(6)]
+    deeper = [make.unpacked(p.packed()) for s in slices for _, p in s.slices(6)]
+    for pieces_ in (slices, deeper):
+        entries = [p.entries() for p in pieces_]
+        assert (np.concatenate([e[0] for e in entries]) == prints).all()
+        assert (np.concatenate([e[1] for e in entries]) == counts).all()
+    empty = make.of(np.array([], np.int64))
+    assert not len(empty.entries()[0]) and not list(empty.slices(6))
+    assert (empty.merged_with(whole).entries()[0] == prints).all()
+
+
+def test_filters_are_merged_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FILTER_ROWS", 60)
+    monkeypatch.setattr(exact_dedup, "SLICE_ROWS", 2)
+    monkeypatch.setattr(exact_dedup, "LEVEL_BITS", 3)
+    monkeypatch.setattr(exact_dedup, "LEVEL_FAN", 2)
+    values = [v * 2**40 for v in range(-200, 200)] + [v * 2**40 for v in range(0, 90, 3)] * 2
+    frame = spark.createDataFrame([(v,) for v in values], "print long").repartition(9)
+    found = {r["print"]: r["count"] for r in exact_dedup.repeated_fingerprints(frame, len(values)).collect()}
+    assert found == {v * 2**40: 3 for v in range(0, 90, 3)}
+    marks = exact_dedup.marks_of(cut(spark.createDataFrame([(v,) for v in found], "print long")))
+    assert marks.of(np.array(sorted(found))).all() and not marks.of(np.array([2**61, -(2**61)])).any()
+
+
+@pytest.mark.parametrize("bits", [1, 3, 64])
+def test_bytes_decide_where_fingerprints_collide(spark, bits):
+    """Prints cut to one bit, or few, throw different texts together; only equal bytes are grouped."""
+    texts = ["a", "A", "b", "B", "c", "é", "É", None, "", *[f"t{i % 25}" for i in range(60)], *[f"u{i}" for i in range(30)]]
+    rows = list(enumerate(texts))
+    frame = cut(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = exact_dedup.exact_duplicates(frame, print_bits=bits).collect()
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(exact_dedup.normal_bytes(t), []).append(i)
+    for r in found:
+        mine = groups[exact_dedup.normal_bytes(texts[r["doc_id"]])]
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (max(mine), len(mine), r["doc_id"] == max(mine))
+    assert len(found) == len(rows)
 
 
 def test_line_windows(spark, docs, empty):
@@ -168,6 +211,23 @@ def test_personal_data(spark, docs, empty):
     assert clash.columns == docs.columns and clash.count() == len(ROWS)
 
 
+def test_words_nearby_decide_on_added_kinds(spark):
+    number = "DE89 3704 0044 0532 0130 00"
+    rows = [
+        (1, f"Pay {number} now", 0.8), (2, f"my bank {number}", 0.9), (3, f"for example {number}", None),
+        (4, f"an example account {number}", 0.5), (5, f"write to me@example.com, {number}", 0.8),
+        (6, f"sample{'x' * 50} {number}", 0.8), (7, f"{number} (Beispiel)", None),
+    ]
+    frame = cut(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
+    found = {r["id"]: [s["score"] for s in r["spans"] if s["kind"] == "iban"] for r in pii.personal_data(frame).collect()}
+    assert found == {i: [] if s is None else [s] for i, _, s in rows}
+    masked = {r["doc_id"]: r["text"] for r in pii.without_personal_data(frame).collect()}
+    assert {i for i, t in masked.items() if "[IBAN]" in t} == {1, 2, 4, 5, 6}
+    assert masked == {i: brute.masked(t) for i, t, _ in rows}
+    card = cut(spark.createDataFrame([(1, "for example 4111 1111 1111 1111")], "doc_id long, text string"))
+    assert [s["score"] for s in pii.personal_data(card).first()["spans"]] == [pytest.approx(0.3)]  # base kinds stay
+
+
 def test_packing(spark, docs, empty):
     found = packing.packed(docs, WORDS).collect()
     assert sum(r["length"] for r in found if r["doc_id"] == 5) == 1

@@ -131,7 +131,7 @@ def test_bands_cover_lower_thresholds():
 def test_account_numbers_have_the_length_of_their_country(spark):
     """One valid number per country, in blocks of four and in one go, before capitals and figures."""
     draw, rows, places = random.Random(8), [], {}
-    for length, countries in pii._IBAN_LENGTHS.items():
+    for length, countries in pii.LENGTHS.items():
         for country in countries.split():
             body = "".join(draw.choices("0123456789", k=length - 4))
             check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
@@ -148,7 +148,7 @@ def test_account_numbers_have_the_length_of_their_country(spark):
     # Lengths that the registry names for some countries, stated here once more.
     known = {"NO": 15, "BE": 16, "DK": 18, "NL": 18, "AT": 20, "CH": 21, "DE": 22, "GB": 22, "ES": 24, "SE": 24}
     known |= {"TR": 26, "FR": 27, "IT": 27, "PL": 28, "HU": 28, "EG": 29, "BR": 29, "UA": 29, "JO": 30, "MT": 31}
-    assert {c: n for n, names in pii._IBAN_LENGTHS.items() for c in names.split() if c in known} == known
+    assert {c: n for n, names in pii.LENGTHS.items() for c in names.split() if c in known} == known
 
 
 def test_grades_of_absent_documents_change_nothing(spark):
