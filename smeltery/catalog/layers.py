@@ -11,7 +11,8 @@ from smeltery.catalog.registry import Tables, query
 from smeltery.operators.dedupe import keep_latest_batches, latest_by_key
 from smeltery.operators.validate import judge_pages
 from smeltery.operators.audit import backfill_summary
-from smeltery.plans.silver_run import PagesRejectedError, deduplicated, refine, run_seasons, run_silver
+from smeltery.operators.quality import CorruptPagesError
+from smeltery.plans.silver_run import PagesRejectedError, deduplicated, read_runs, refine, run_seasons, run_silver
 from smeltery.plans.staging import staged
 from smeltery.plans.worklist import still_missing, with_keys
 from smeltery.session import scratch_path
@@ -139,6 +140,27 @@ def silver_run(t: Tables) -> DataFrame:
     return read_silver(t.spark, silver, GLOBAL_EVENTS).select("event_id", "event_type", "value")
 
 
+@query(f"""
+SELECT 'global_events' AS endpoint, count(*) AS pages, count(*) FILTER (verdict <> 'ok') AS failed,
+  count(*) FILTER (verdict = 'corrupt') AS corrupt, sum(total)::BIGINT AS records, sum(bad)::BIGINT AS bad_records,
+  coalesce(sum(total - bad) FILTER (verdict = 'ok'), 0)::BIGINT AS rows_written,
+  CASE WHEN corrupt > 0 THEN 'FAILED' WHEN failed > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status
+FROM (SELECT CASE WHEN page % 7 = 0 THEN 'invalid_json' WHEN page % 5 = 0 THEN 'corrupt' WHEN page % 4 = 0 THEN 'incomplete'
+    ELSE verdict END AS verdict, CASE WHEN page % 7 * (page % 5) * (page % 4) = 0 THEN 0 ELSE total END AS total,
+    CASE WHEN page % 7 * (page % 5) * (page % 4) = 0 THEN 0 ELSE bad END AS bad FROM {_VERDICTS.format(0.2)})""")
+def run_metrics(t: Tables) -> DataFrame:
+    """The counters a run takes while it writes, read from its table of runs."""
+    base, silver = scratch_path(t.spark, "bronze"), scratch_path(t.spark, "silver")
+    bronze.land(_mixed_pages(t), base, GLOBAL_EVENTS)
+    try:
+        run_silver(t.spark, base, silver, None, [GLOBAL_EVENTS], on_error="continue")
+    except CorruptPagesError:
+        pass  # noted in the table all the same
+    return read_runs(t.spark, silver).select(
+        "endpoint", "pages", "failed", "corrupt", "records", "bad_records", "rows_written", "status"
+    )
+
+
 def _replayed(t: Tables) -> DataFrame:
     """Events landed in three batches: the second lacks some days, the third some more, and all
     but the first repeat each record on a second page."""

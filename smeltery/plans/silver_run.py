@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.operators.audit import failed
@@ -22,14 +22,17 @@ from smeltery.operators.validate import (
     page_verdicts,
     quarantined_records,
 )
+from smeltery.plans.side_by_side import AT_ONCE, side_by_side
 from smeltery.session import scratch_path
 from smeltery.sources.bronze import dataset_path, read_pages
+from smeltery.sources.commits import commit, commits, next_number, read_commits
 from smeltery.sources.models import Dataset
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import present_partitions, silver_rows, write_silver
 from smeltery.sources.tables import remove, written_at
+from smeltery.sources.versions import pointers, publish, versions
 
-VERDICTS, QUARANTINE = "_verdicts", "_quarantine"
+VERDICTS, QUARANTINE, RUNS = "_verdicts", "_quarantine", "_runs"
 # Audit tables are replaced per dataset and season; datasets without seasons use this one.
 NO_SEASON = "none"
 
@@ -38,6 +41,37 @@ class PagesRejectedError(RuntimeError):
     """Some pages failed; the good ones of every dataset were written all the same."""
 
 
+@dataclass(frozen=True)
+class Counts:
+    """What a run counted of one dataset while it wrote it."""
+
+    pages: int
+    failed: int
+    corrupt: int
+    empty: int
+    records: int
+    bad_records: int
+    bytes_read: int
+    rows_written: int
+
+
+_COUNTERS = ("pages", "failed", "corrupt", "empty", "records", "bad_records", "bytes_read", "rows_written")
+_RUN = "season long, endpoint string, status string, " + ", ".join(f"{c} long" for c in _COUNTERS)
+
+
+def _observed_pages(judged: DataFrame, seen: Observation) -> DataFrame:
+    verdict = F.col("verdict")
+    return judged.observe(
+        seen,
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(failed(verdict)).alias("failed"),
+        F.count_if(verdict == "corrupt").alias("corrupt"),
+        F.count_if(verdict == "empty").alias("empty"),
+        F.coalesce(F.sum("total"), F.lit(0)).alias("records"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_records"),
+    )
+
+
 @dataclass
 class SilverRun:
     """Where a run left its results, and the pages it could not use per dataset."""
@@ -46,11 +80,18 @@ class SilverRun:
     failures: dict[str, int]
     skipped: list[str]
     corrupt: dict[str, int] = field(default_factory=dict)
+    counts: dict[str, Counts] = field(default_factory=dict)
 
     def verdicts(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.silver}/{VERDICTS}")
 
 
+def read_runs(spark: SparkSession, silver: str) -> DataFrame:
+    """Every run's counters: ``commit`` (the run's number), season asked for, dataset and ``Counts``."""
+    path = f"{silver}/{RUNS}"
+    return read_commits(spark, path, _RUN, commits(spark, path))
+
+
 def deduplicated(rows: DataFrame, spec: Dataset) -> DataFrame:
     """Newest batch per season and round, then newest record per natural key."""
     if spec.partitions:
@@ -90,6 +131,13 @@ def chosen_batches(judged: DataFrame, spec: Dataset, present: DataFrame | None)
     return joined.select(*(f"n.{k}" for k in keys), batch.alias("batch_id")).where("batch_id IS NOT NULL")
 
 
+def published_partitions(spark: SparkSession, silver: str, spec: Dataset) -> DataFrame | None:
+    """As ``present_partitions``, of a Silver that keeps its batches."""
+    if not versions(spark, silver, spec):
+        return None
+    return pointers(spark, silver, spec).select(*(F.col(k).alias(f"_p_{k}") for k in spec.partitions)).distinct()
+
+
 def of_batches(judged: DataFrame, chosen: DataFrame, spec: Dataset) -> DataFrame:
     """The pages of the chosen batches."""
     match = F.col("j.batch_id") == F.col("c.batch_id")
@@ -107,33 +155,67 @@ def refine(
     dedupe: bool = True,
 ) -> int:
     """Judge the pages of one dataset once, then write rows, quarantine and verdicts from that."""
-    return _refined(spark, pages, silver, spec, threshold, dedupe)[0]
+    return _refined(spark, pages, silver, spec, threshold, dedupe)[0].failed
 
 
 def _refined(
-    spark: SparkSession, pages: DataFrame, silver: str, spec: Dataset, threshold: float, dedupe: bool
-) -> tuple[int, int]:
-    """How many pages failed, and how many of them are corrupt."""
-    scratch = scratch_path(spark, f"refine-{spec.name}")
-    judged = written_at(judge_pages(pages, spec, threshold, gate=True), f"{scratch}/judged")
-    try:
-        if dedupe:
-            batches = chosen_batches(judged, spec, present_partitions(spark, silver, spec))
-            chosen = of_batches(judged, written_at(batches, f"{scratch}/batches"), spec)
-            rows = newest_records(silver_rows(chosen, spec), spec)
+    spark: SparkSession,
+    pages: DataFrame,
+    silver: str,
+    spec: Dataset,
+    threshold: float,
+    dedupe: bool,
+    keep_batches: bool = False,
+    by_season: bool = False,
+) -> tuple[Counts, dict[int | None, tuple[int, int]]]:
+    """The dataset's counters and, if wanted, failed and corrupt pages of every season.
+
+    Counters are taken where tables are written, from the tasks that write: a task that is run again
+    counts once. What is written from the judged pages is written at the same time.
+    """
+    scratch, keys = scratch_path(spark, f"refine-{spec.name}"), dict(spark=spark, pool=spec.name)
+    read, seen, put = Observation(), Observation(), Observation()
+    measured = pages.observe(read, F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).cast("long").alias("bytes_read"))
+    judged = written_at(_observed_pages(judge_pages(measured, spec, threshold, gate=True), seen), f"{scratch}/judged")
+
+    def rows() -> bool:
+        """Write the rows; False if there was nothing to write at all."""
+        if keep_batches or dedupe:
+            present = (published_partitions if keep_batches else present_partitions)(spark, silver, spec)
+            batches = written_at(chosen_batches(judged, spec, present), f"{scratch}/batches")
+            found = silver_rows(of_batches(judged, batches, spec), spec)
         else:
-            rows = silver_rows(judged, spec)
-        write_silver(rows, silver, spec)
+            found = silver_rows(judged, spec)
+        if keep_batches:
+            publish(found, silver, spec, put)
+            return True
+        return write_silver(newest_records(found, spec) if dedupe else found, silver, spec, seen=put)
+
+    def audit(frame: DataFrame, name: str) -> None:
         season = F.coalesce(F.col("_p_season").cast("string"), F.lit(NO_SEASON)).alias("season")
-        for frame, name in ((page_verdicts(judged), VERDICTS), (quarantined_records(judged), QUARANTINE)):
-            target = frame.select(F.lit(spec.name).alias("endpoint"), season, "*").write.mode("overwrite")
-            target = target.partitionBy("endpoint", "season").option("partitionOverwriteMode", "dynamic")
-            target.parquet(f"{silver}/{name}")
-        bad = F.count_if(failed(F.col("verdict"))).alias("failed")
-        counts = judged.agg(bad, F.count_if(F.col("verdict") == "corrupt").alias("corrupt")).first()
+        target = frame.select(F.lit(spec.name).alias("endpoint"), season, "*").write.mode("overwrite")
+        target = target.partitionBy("endpoint", "season").option("partitionOverwriteMode", "dynamic")
+        target.parquet(f"{silver}/{name}")
+
+    def seasons() -> dict[int | None, tuple[int, int]]:
+        bad, lost = F.count_if(failed(F.col("verdict"))), F.count_if(F.col("verdict") == "corrupt")
+        found = judged.groupBy("_p_season").agg(bad.alias("bad"), lost.alias("lost")).collect() if by_season else []
+        return {r["_p_season"]: (r["bad"], r["lost"]) for r in found}  # a row per season
+
+    try:
+        done = side_by_side(
+            jobs={
+                "rows": rows,
+                "verdicts": lambda: audit(page_verdicts(judged), VERDICTS),
+                "quarantine": lambda: audit(quarantined_records(judged), QUARANTINE),
+                "seasons": seasons,
+            },
+            **keys,
+        )
     finally:
         remove(spark, scratch)
-    return counts["failed"], counts["corrupt"]
+    counted = seen.get | read.get | (put.get if done["rows"] else {})
+    return Counts(*(counted.get(c) or 0 for c in _COUNTERS)), done["seasons"]
 
 
 def run_silver(
@@ -145,25 +227,27 @@ def run_silver(
     threshold: float = ERROR_THRESHOLD,
     on_error: str = "fail",
     whole_files: bool = False,
+    keep_batches: bool = False,
+    at_once: int = AT_ONCE,
 ) -> SilverRun:
-    """Refine every dataset; bad pages stop nothing but, with ``on_error='fail'``, the run's end.
+    """Refine every dataset, side by side; bad pages stop nothing but, with ``on_error='fail'``, the run's end.
 
     Pages that report records but hold none fail it in either mode. Season-less datasets are read
-    whole, the others only in their season's folder.
+    whole, the others only in their season's folder. With ``keep_batches`` Silver holds its batches side
+    by side (``sources.versions``) and can be rolled back; without, a partition holds its newest.
+    What was counted is in the result and in the table of ``read_runs``.
     """
     run = SilverRun(silver, {}, [])
-    for entry in datasets or DATASETS:
-        spec = DATASETS[entry] if isinstance(entry, str) else entry
-        try:
-            pages = read_pages(spark, bronze, spec, season, whole_files)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            run.skipped.append(spec.name)
+    found = _all_refined(spark, bronze, silver, season, datasets, threshold, whole_files, at_once, keep_batches)
+    for name, done in found.items():
+        if done is None:
+            run.skipped.append(name)
             continue
-        run.failures[spec.name], corrupt = _refined(spark, pages, silver, spec, threshold, True)
-        if corrupt:
-            run.corrupt[spec.name] = corrupt
+        run.counts[name] = counts = done[0]
+        run.failures[name] = counts.failed
+        if counts.corrupt:
+            run.corrupt[name] = counts.corrupt
+    _note(spark, silver, season, run)
     if run.corrupt:
         raise CorruptPagesError(f"pages report records but hold none: {run.corrupt}")
     if on_error == "fail" and any(run.failures.values()):
@@ -171,6 +255,43 @@ def run_silver(
     return run
 
 
+def _all_refined(
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    season: int | list[int] | None,
+    datasets: Iterable[str | Dataset] | None,
+    threshold: float,
+    whole_files: bool,
+    at_once: int,
+    keep_batches: bool = False,
+    by_season: bool = False,
+) -> dict[str, tuple[Counts, dict[int | None, tuple[int, int]]] | None]:
+    """Refine the datasets side by side; None for those that have not landed."""
+
+    def refined(spec: Dataset) -> tuple[Counts, dict[int | None, tuple[int, int]]] | None:
+        try:
+            pages = read_pages(spark, bronze, spec, season, whole_files)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return _refined(spark, pages, silver, spec, threshold, True, keep_batches, by_season)
+
+    chosen = [DATASETS[e] if isinstance(e, str) else e for e in datasets or DATASETS]
+    return side_by_side(spark, {spec.name: lambda spec=spec: refined(spec) for spec in chosen}, at_once)
+
+
+def _note(spark: SparkSession, silver: str, season: int | None, run: SilverRun) -> None:
+    """Add the run's counters to the table of runs."""
+    rows = [
+        (season, name, "FAILED" if c.corrupt else "PARTIAL" if c.failed else "SUCCESS", *(getattr(c, k) for k in _COUNTERS))
+        for name, c in run.counts.items()
+    ]
+    if rows:
+        commit(spark.createDataFrame(rows, _RUN).coalesce(1), f"{silver}/{RUNS}", next_number(spark, f"{silver}/{RUNS}"))
+
+
 def run_seasons(
     spark: SparkSession,
     bronze: str,
@@ -179,22 +300,22 @@ def run_seasons(
     datasets: Iterable[str | Dataset] | None = None,
     threshold: float = ERROR_THRESHOLD,
     whole_files: bool = False,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
-    """Run season by season and return one row each: ``season, status, failed_pages``.
+    """Refine the pages of some seasons and return a row each: ``season, status, failed_pages``.
 
-    SUCCESS without failed pages, PARTIAL with some, FAILED if the season's run raised; a season that
-    fails does not stop the ones after it. The rows feed ``audit.backfill_summary``.
+    All seasons of a dataset are one scan, judged at once and told apart afterwards; datasets are
+    refined side by side. SUCCESS without failed pages, PARTIAL with some, FAILED with pages that report
+    records but hold none; a season that fails does not keep the others from being written. Pages
+    of datasets without seasons count for each season. The rows feed ``audit.backfill_summary``.
     """
+    wanted = list(dict.fromkeys(seasons))
+    found = _all_refined(spark, bronze, silver, wanted, datasets, threshold, whole_files, at_once, by_season=True)
     rows: list[tuple[int, str, int]] = []
-    chosen = list(datasets or DATASETS)
-    for season in seasons:
-        try:
-            run = run_silver(spark, bronze, silver, season, chosen, threshold, "continue", whole_files)
-        except CorruptPagesError:
-            rows.append((season, "FAILED", 0))
-            continue
-        bad = sum(run.failures.values())
-        rows.append((season, "PARTIAL" if bad else "SUCCESS", bad))
+    for season in wanted:
+        pages = [done[1].get(key, (0, 0)) for done in found.values() if done for key in (season, None)]
+        bad, lost = sum(b for b, _ in pages), sum(n for _, n in pages)
+        rows.append((season, "FAILED" if lost else "PARTIAL" if bad else "SUCCESS", bad))
     return spark.createDataFrame(rows, "season long, status string, failed_pages long")
 
 
@@ -203,6 +324,7 @@ __all__ = [
     "PagesRejectedError",
     "run_silver",
     "run_seasons",
+    "read_runs",
     "refine",
     "deduplicated",
     "dataset_path",

@@ -6,12 +6,15 @@ sane at scale) or, as single-page landings leave it, a whole file; the reader ta
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.functions.keys import content_digest, object_key, padded
 from smeltery.sources.models import Dataset
 from smeltery.sources.registry import SOURCE
+from smeltery.sources.tables import exists
 
 FILE_VERSION = "1.0"
 PAGES_PER_FILE = 20000
@@ -54,6 +57,14 @@ def dataset_path(base: str, spec: Dataset, season: int | None = None) -> str:
     return f"{path}/season={season}" if season is not None and spec.has_season else path
 
 
+def season_paths(spark: SparkSession, base: str, spec: Dataset, season: int | Sequence[int] | None) -> list[str]:
+    """The folders of some seasons; of several, those that exist (at least one is named)."""
+    if season is None or isinstance(season, int) or not spec.has_season:
+        return [dataset_path(base, spec, season if isinstance(season, int) else None)]
+    named = [dataset_path(base, spec, s) for s in season]
+    return [p for p in named if exists(spark, p)] or named[:1]
+
+
 def land(pages: DataFrame, base: str, spec: Dataset, mode: str = "append") -> None:
     """Write ``season, round, batch_id, value`` rows of one dataset below its partition folders.
 
@@ -75,12 +86,12 @@ def read_pages(
     spark: SparkSession,
     base: str,
     spec: Dataset,
-    season: int | None = None,
+    season: int | Sequence[int] | None = None,
     whole_files: bool = False,
 ) -> DataFrame:
     """Pages of one dataset: path keys, page number, file path and the JSON text ``value``.
 
-    Only the season's folder is listed. Path keys are declared as text, so a batch of digits or a
+    Only the folders of the season, or of those seasons that have one, are listed. Path keys are declared as text, so a batch of digits or a
     zero-padded round is not guessed to be a number.
     """
     declared = ", ".join(f"{c} string" for c in ("value", *spec.partitions, "batch_id"))
@@ -88,7 +99,7 @@ def read_pages(
         spark.read.schema(declared)
         .option("basePath", dataset_path(base, spec))
         .option("recursiveFileLookup", "false")
-        .text(dataset_path(base, spec, season), wholetext=whole_files)
+        .text(season_paths(spark, base, spec, season), wholetext=whole_files)
     )
     path = F.col("_metadata.file_path")
     in_name = F.regexp_extract(path, r"page_(\d+)\.json", 1).try_cast("int")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,20 +35,29 @@ def silver_rows(judged: DataFrame, spec: Dataset) -> DataFrame:
     return flat.select(*data, *keys, F.lit(spec.name).alias("endpoint"), *lineage)
 
 
-def write_silver(rows: DataFrame, base: str, spec: Dataset, mode: str = "overwrite") -> None:
+def counted_rows(frame: DataFrame, seen: Observation | None) -> DataFrame:
+    """Count the rows a task writes; to be the last step, so that a task run again counts once."""
+    return frame if seen is None else frame.observe(seen, F.count(F.lit(1)).alias("rows_written"))
+
+
+def write_silver(
+    rows: DataFrame, base: str, spec: Dataset, mode: str = "overwrite", seen: Observation | None = None
+) -> bool:
     """Consolidate pages into one sorted dataset per partition; overwrite only what is present.
 
-    An unpartitioned dataset is never replaced by no rows.
+    An unpartitioned dataset is never replaced by no rows: then False is returned. ``seen`` gets the
+    ``rows_written``.
     """
     keys = list(spec.partitions)
     order = [c for c in spec.natural_key if c not in keys]
     if not keys and not rows.head(1):
-        return
+        return False
     frame = rows.hint("rebalance", *keys) if keys else rows.hint("rebalance")
-    writer = frame.sortWithinPartitions(*keys, *order).write.mode(mode)
+    writer = counted_rows(frame.sortWithinPartitions(*keys, *order), seen).write.mode(mode)
     if keys:
         writer = writer.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     writer.parquet(dataset_path(base, spec))
+    return True
 
 
 def present_partitions(spark: SparkSession, base: str, spec: Dataset) -> DataFrame | None:

@@ -21,6 +21,11 @@ def written_at(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table, in whatever store it lies."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -14,7 +14,8 @@ from smeltery.catalog.registry import QUERIES
 from smeltery.functions.keys import object_key, page_count, parquet_key
 from smeltery.operators.audit import run_status
 from smeltery.operators.quality import CorruptPagesError, reconcile, page_payloads
-from smeltery.plans.silver_run import PagesRejectedError, run_seasons, run_silver
+from smeltery.plans.side_by_side import side_by_side
+from smeltery.plans.silver_run import PagesRejectedError, read_runs, run_seasons, run_silver
 from smeltery.plans.worklist import round_worklist, season_range, still_missing, with_keys, with_pages
 from smeltery.session import scratch_path
 from smeltery.sources.bronze import changed_pages, envelope, file_inventory, land, manifest, read_pages
@@ -148,6 +149,60 @@ def test_a_batch_that_lacks_pages_does_not_replace_a_whole_one(spark, places):
     assert read_silver(spark, places[1], DATASETS["results"]).count() == 3
 
 
+def test_runs_are_counted_as_they_are_written(spark, places):
+    """Counters equal a recount of what was landed and written; a dataset without rows counts none."""
+    write_page(places[0], "results", "1", body("results", [RESULT, {**RESULT, "Driver": {**DRIVER, "driverId": "bob"}}]))
+    write_page(places[0], "results", "1", body("results", [RESULT] * 9 + [BROKEN]), page=2)
+    write_page(places[0], "results", "1", body("results", [BROKEN]), page=3)
+    write_page(places[0], "drivers", "1", body("drivers", []))
+    write_page(places[0], "seasons", "1", None, raw="no json")
+    names = ["results", "drivers", "seasons", "laps"]
+    run = run_silver(spark, *places, 2024, names, on_error="continue", whole_files=True)
+    assert run.skipped == ["laps"] and run.failures == {"results": 1, "drivers": 0, "seasons": 1}
+    rows = {r["endpoint"]: r.asDict() for r in read_runs(spark, places[1]).collect()}
+    size = sum(len(gzip.open(p).read()) for p in Path(places[0]).rglob("endpoint=results/**/*.gz"))
+    expected = {"pages": 3, "failed": 1, "corrupt": 0, "empty": 0, "records": 13, "bad_records": 2, "bytes_read": size}
+    assert expected.items() <= rows["results"].items()
+    assert rows["results"]["rows_written"] == read_silver(spark, places[1], DATASETS["results"]).count() == 2
+    assert (rows["drivers"]["empty"], rows["drivers"]["rows_written"], rows["drivers"]["status"]) == (1, 0, "SUCCESS")
+    assert (rows["seasons"]["failed"], rows["seasons"]["rows_written"], rows["seasons"]["status"]) == (1, 0, "PARTIAL")
+    assert run.counts["results"].records == 13
+    run_silver(spark, *places, 2024, ["results"], on_error="continue", whole_files=True)
+    assert sorted((r["commit"], r["endpoint"]) for r in read_runs(spark, places[1]).collect())[-1] == (2, "results")
+
+
+def test_seasons_of_one_scan_are_told_apart(spark, places):
+    for season, document in ((2022, body("drivers")), (2023, body("drivers", [BROKEN])), (2024, body("drivers"))):
+        write_page(places[0], "drivers", "1", document, season=season)
+    lost = body("circuits", [])
+    lost["MRData"]["total"] = "5"
+    write_page(places[0], "circuits", "1", lost, season=2024)
+    runs = run_seasons(spark, *places, [2024, 2022, 2023, 2021], ["drivers", "circuits"], whole_files=True)
+    assert [tuple(r) for r in runs.collect()] == [(2024, "FAILED", 1), (2022, "SUCCESS", 0), (2023, "PARTIAL", 1), (2021, "SUCCESS", 0)]
+    assert sorted(r.season for r in read_silver(spark, places[1], DATASETS["drivers"]).collect()) == [2022, 2024]
+    # Pages of a dataset without seasons count for each.
+    write_page(places[0], "seasons", "1", None, raw="no json")
+    runs = run_seasons(spark, *places, [2022, 2023], ["drivers", "seasons"], whole_files=True)
+    assert [tuple(r) for r in runs.collect()] == [(2022, "PARTIAL", 1), (2023, "PARTIAL", 2)]
+
+
+def test_jobs_side_by_side_all_end(spark):
+    ended = []
+
+    def job(n):
+        if n == 1:
+            raise RuntimeError("one")
+        ended.append(spark.range(n).count())
+        return spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    with pytest.raises(RuntimeError, match="one"):
+        side_by_side(spark, {str(n): lambda n=n: job(n) for n in range(4)})
+    assert sorted(ended) == [0, 2, 3]
+    assert side_by_side(spark, {"a": lambda: job(5), "b": lambda: job(6)}) == {"a": "a", "b": "b"}
+    assert side_by_side(spark, {"a": lambda: job(5), "b": lambda: job(6)}, pool="p") == {"a": "p", "b": "p"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
 def test_audit_tables_keep_earlier_seasons(spark, places):
     for season in (2023, 2024):
         write_page(places[0], "drivers", "1", body("drivers"), season=season)
@@ -163,7 +218,7 @@ def test_pages_without_their_records_always_fail(spark, places, mode):
     with pytest.raises(CorruptPagesError):
         run_silver(spark, *places, 2024, ["drivers"], on_error=mode, whole_files=True)
     runs = run_seasons(spark, *places, [2024], ["drivers"], whole_files=True)
-    assert [tuple(r) for r in runs.collect()] == [(2024, "FAILED", 0)]
+    assert [tuple(r) for r in runs.collect()] == [(2024, "FAILED", 1)]
 
 
 def test_single_page_files_and_path_keys_stay_text(spark, tmp_path):
