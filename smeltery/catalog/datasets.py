@@ -121,15 +121,23 @@ def _list(rows: DataFrame, name: str, record: Column, order: str, path: tuple[st
 
 @query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS season, 'u' || year(o_orderdate) AS url FROM orders GROUP BY ALL""")
 def silver_seasons(t: Tables) -> DataFrame:
+    return _silver(seasons_pages(t), "seasons")
+
+
+def seasons_pages(t: Tables) -> DataFrame:
     years = t.orders.select(F.year("o_orderdate").alias("y")).distinct().withColumn("page", F.lit(0))
     record = F.struct(words("y").alias("season"), F.concat(F.lit("u"), "y").alias("url"))
-    return _silver(_list(years, "seasons", record, "y", ("SeasonTable", "Seasons")), "seasons")
+    return _list(years, "seasons", record, "y", ("SeasonTable", "Seasons"))
 
 
 @query(f"""SELECT {_circuit_sql('', 's_suppkey')}, CAST(2000 + s_suppkey % 3 AS BIGINT) AS season FROM supplier""")
 def silver_circuits(t: Tables) -> DataFrame:
+    return _silver(circuits_pages(t), "circuits")
+
+
+def circuits_pages(t: Tables) -> DataFrame:
     rows = t.supplier.selectExpr("*", "2000 + s_suppkey % 3 AS season", "int(s_suppkey / 1000) AS page")
-    return _silver(_list(rows, "circuits", circuit("s_suppkey"), "s_suppkey", ("CircuitTable", "Circuits")), "circuits")
+    return _list(rows, "circuits", circuit("s_suppkey"), "s_suppkey", ("CircuitTable", "Circuits"))
 
 
 @query("""SELECT ascii(o_orderstatus)::BIGINT AS status_id, o_orderstatus AS status, count(*) AS count FROM orders GROUP BY ALL""")
@@ -149,14 +157,22 @@ def status_pages(t: Tables) -> DataFrame:
 
 @query(f"""SELECT {_driver_sql('')}, CAST(2000 + c_custkey % 3 AS BIGINT) AS season FROM customer""")
 def silver_drivers(t: Tables) -> DataFrame:
+    return _silver(drivers_pages(t), "drivers")
+
+
+def drivers_pages(t: Tables) -> DataFrame:
     rows = t.customer.selectExpr("*", "2000 + c_custkey % 3 AS season", "int(c_custkey / 1000) AS page")
-    return _silver(_list(rows, "drivers", driver(), "c_custkey", ("DriverTable", "Drivers")), "drivers")
+    return _list(rows, "drivers", driver(), "c_custkey", ("DriverTable", "Drivers"))
 
 
 @query(f"""SELECT {_constructor_sql('')}, CAST(2000 + n_nationkey % 2 AS BIGINT) AS season FROM nation""")
 def silver_constructors(t: Tables) -> DataFrame:
+    return _silver(constructors_pages(t), "constructors")
+
+
+def constructors_pages(t: Tables) -> DataFrame:
     rows = t.nation.selectExpr("*", "2000 + n_nationkey % 2 AS season", "int(n_nationkey / 1000) AS page")
-    return _silver(_list(rows, "constructors", constructor(), "n_nationkey", ("ConstructorTable", "Constructors")), "constructors")
+    return _list(rows, "constructors", constructor(), "n_nationkey", ("ConstructorTable", "Constructors"))
 
 
 @query(f"""
@@ -235,6 +251,10 @@ SELECT o_orderkey % 100 AS number, o_orderkey % 20 + 1 AS position, {_driver_sql
   CASE WHEN o_orderkey % 3 > 1 THEN '' END AS q3, {_ROUND}
 FROM (SELECT *, o_orderkey * 7 + 60000 AS ms FROM {_ORDERS})""")
 def silver_qualifying(t: Tables) -> DataFrame:
+    return _silver(qualifying_pages(t), "qualifying")
+
+
+def qualifying_pages(t: Tables) -> DataFrame:
     third = F.col("o_orderkey") % 3
     record = F.struct(
         F.expr("string(o_orderkey % 100)").alias("number"),
@@ -245,7 +265,7 @@ def silver_qualifying(t: Tables) -> DataFrame:
         F.when(third > 0, clock(F.col("ms") + 1)).alias("Q2"),
         F.when(third > 1, "").alias("Q3"),
     )
-    return _silver(_per_round(_orders(t), "qualifying", record, "o_orderkey"), "qualifying")
+    return _per_round(_orders(t), "qualifying", record, "o_orderkey")
 
 
 @query(f"""
@@ -254,6 +274,10 @@ SELECT o_orderkey % 100 AS number, o_orderkey % 20 + 1 AS position, o_totalprice
   NULL::VARCHAR AS time_time, NULL::BIGINT AS time_millis, {_ROUND} FROM {_ORDERS}""")
 def silver_sprint(t: Tables) -> DataFrame:
     """Nobody finished: the optional time is absent throughout, and its columns are still there."""
+    return _silver(sprint_pages(t), "sprint")
+
+
+def sprint_pages(t: Tables) -> DataFrame:
     record = F.struct(
         F.expr("string(o_orderkey % 100)").alias("number"),
         F.expr("string(o_orderkey % 20 + 1)").alias("position"),
@@ -264,7 +288,7 @@ def silver_sprint(t: Tables) -> DataFrame:
         constructor().alias("Constructor"),
         F.col("o_orderpriority").alias("status"),
     )
-    return _silver(_per_round(_orders(t), "sprint", record, "o_orderkey"), "sprint")
+    return _per_round(_orders(t), "sprint", record, "o_orderkey")
 
 
 _ORDER_LINES = f"""(SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS number, count(*) AS n, {_ROUND}
@@ -292,6 +316,10 @@ def _lines(t: Tables) -> DataFrame:
 SELECT 'd' || l_orderkey AS driver_id, n AS lap, number AS stop, '15:02:11' AS time, n || '3.456' AS duration, season, round
 FROM {_ORDER_LINES}""")
 def silver_pitstops(t: Tables) -> DataFrame:
+    return _silver(pitstops_pages(t), "pitstops")
+
+
+def pitstops_pages(t: Tables) -> DataFrame:
     record = F.struct(
         F.concat(F.lit("d"), "l_orderkey").alias("driverId"),
         words("n").alias("lap"),
@@ -299,7 +327,7 @@ def silver_pitstops(t: Tables) -> DataFrame:
         F.lit("15:02:11").alias("time"),
         F.concat("n", F.lit("3.456")).alias("duration"),
     )
-    return _silver(_per_round(_lines(t), "pitstops", record, "_order"), "pitstops")
+    return _per_round(_lines(t), "pitstops", record, "_order")
 
 
 @query(f"""
@@ -307,6 +335,10 @@ SELECT number, 'd' || l_orderkey AS timings_driver_id, n AS timings_position, '1
 FROM {_ORDER_LINES}""")
 def silver_laps(t: Tables) -> DataFrame:
     """Lap timings nested in laps nested in races; a lap goes on over several pages."""
+    return _silver(laps_pages(t), "laps")
+
+
+def laps_pages(t: Tables) -> DataFrame:
     timing = F.to_json(
         F.struct(
             F.concat(F.lit("d"), "l_orderkey").alias("driverId"),
@@ -323,7 +355,7 @@ def silver_laps(t: Tables) -> DataFrame:
     )
     shaped = laps.select("season", "round", "page", "l_linenumber", record.alias("record"))
     pages = response(shaped, ["season", "round", "page"], "l_linenumber", head, "]}]}}}")
-    return _silver(pages, "laps")
+    return pages
 
 
 

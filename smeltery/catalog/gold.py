@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smeltery.catalog.datasets import races_pages, results_pages, status_pages
+from smeltery.catalog.datasets import (
+    _ORDER_LINES,
+    circuits_pages,
+    constructors_pages,
+    drivers_pages,
+    laps_pages,
+    pitstops_pages,
+    qualifying_pages,
+    races_pages,
+    results_pages,
+    status_pages,
+)
 from smeltery.catalog.frames import CENTS, INGESTED, clock, event_results, order_lines, race_results, races, statuses
 from smeltery.catalog.registry import Tables, query
 from smeltery.operators.history import apply_snapshot, as_of, as_of_join, history
 from smeltery.plans import gold
 from smeltery.plans.gold_run import build_gold
+from smeltery.plans.side_by_side import side_by_side
 from smeltery.plans.silver_run import run_silver
 from smeltery.session import scratch_path
 from smeltery.sources.bronze import envelope, land
@@ -391,6 +403,20 @@ def preaggregate_refresh(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("season", "round", "n", "points")
 
 
+def _refine_pages(t: Tables, silver: str, pages: dict[str, DataFrame]) -> None:
+    """Land the pages of some datasets and refine them to Silver."""
+    base = scratch_path(t.spark, "bronze")
+
+    def landed(name: str) -> None:
+        place = [F.col(c) for c in ("_p_season", "_p_round", "batch_id", "page")]
+        value = envelope(F.lit(name), *place, F.lit(INGESTED), F.lit(None), F.col("value"))
+        keyed = pages[name].withColumn("value", value).withColumnsRenamed({"_p_season": "season", "_p_round": "round"})
+        land(keyed, base, DATASETS[name])
+
+    side_by_side(t.spark, {name: lambda name=name: landed(name) for name in pages})
+    run_silver(t.spark, base, silver, None, list(pages))
+
+
 _KEPT = """(SELECT year(o_orderdate) AS season, month(o_orderdate) AS round, 'c' || c_nationkey AS constructor_id,
     o_orderkey % 20 + 1 AS place, CAST(o_totalprice AS DECIMAL(18,2)) AS points FROM orders JOIN customer ON o_custkey = c_custkey
   QUALIFY row_number() OVER (PARTITION BY season, round, o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 100 END, place
@@ -402,12 +428,105 @@ SELECT CAST(season AS BIGINT) AS season, constructor_id, CAST(sum(points) AS DOU
   count(*) FILTER (place = 1) AS wins, count(*) FILTER (place <= 3) AS podiums FROM {_KEPT} GROUP BY ALL""")
 def gold_build(t: Tables) -> DataFrame:
     """Pages landed, refined to Silver and built to Gold; the season table of the constructors."""
-    base, silver, target = (scratch_path(t.spark, n) for n in ("bronze", "silver", "gold"))
-    for name, pages in (("results", results_pages(t)), ("races", races_pages(t)), ("status", status_pages(t))):
-        place = [F.col(c) for c in ("_p_season", "_p_round", "batch_id", "page")]
-        value = envelope(F.lit(name), *place, F.lit(INGESTED), F.lit(None), F.col("value"))
-        keyed = pages.withColumn("value", value).withColumnsRenamed({"_p_season": "season", "_p_round": "round"})
-        land(keyed, base, DATASETS[name])
-    run_silver(t.spark, base, silver, None, ["results", "races", "status"])
-    stats = build_gold(t.spark, silver, target)["agg_constructor_season"]
+    silver, target = (scratch_path(t.spark, n) for n in ("silver", "gold"))
+    _refine_pages(t, silver, {"results": results_pages(t), "races": races_pages(t), "status": status_pages(t)})
+    stats = build_gold(t.spark, silver, target)["agg_constructor_season_stats"]
+    return stats.withColumn("total_points", F.col("total_points").cast("double"))
+
+
+@query(f"""
+SELECT season, round, 'd' || l_orderkey AS driver_id, number AS lap_number, ((60 + n) * 1000 + 500)::BIGINT AS lap_time_ms FROM {_ORDER_LINES}""")
+def gold_laps(t: Tables) -> DataFrame:
+    """Lap times from the built Gold: pages landed, refined, timings in milliseconds."""
+    silver, target = (scratch_path(t.spark, n) for n in ("silver", "gold"))
+    _refine_pages(t, silver, {"laps": laps_pages(t)})
+    return build_gold(t.spark, silver, target)["fact_lap_times"].drop("lap_id")
+
+
+@query(f"""
+SELECT season, round, 'd' || l_orderkey AS driver_id, n AS lap, number AS stop_number, (n * 10000 + 3456)::BIGINT AS duration_ms FROM {_ORDER_LINES}""")
+def gold_stops(t: Tables) -> DataFrame:
+    silver, target = (scratch_path(t.spark, n) for n in ("silver", "gold"))
+    _refine_pages(t, silver, {"pitstops": pitstops_pages(t)})
+    return build_gold(t.spark, silver, target)["fact_pit_stops"].drop("pitstop_id")
+
+
+_ENTRIES = """(SELECT year(o_orderdate)::BIGINT AS season, month(o_orderdate)::BIGINT AS round, 'd' || c_custkey AS driver_id,
+    o_orderkey % 20 + 1 AS place, o_totalprice::DECIMAL(18,2) AS points FROM orders JOIN customer ON o_custkey = c_custkey
+  QUALIFY row_number() OVER (PARTITION BY season, round, o_custkey, {0}, place ORDER BY o_orderkey DESC) = 1)"""
+
+
+@query(f"""
+WITH r AS (SELECT season, driver_id, sum(points)::DOUBLE AS total_points, count(*) AS races, count(*) FILTER (place = 1) AS wins,
+    count(*) FILTER (place <= 3) AS podiums FROM {_ENTRIES.format("CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 100 END")} GROUP BY ALL),
+p AS (SELECT season, driver_id, count(*) AS poles FROM {_ENTRIES.format("o_orderkey % 100")} WHERE place = 1 GROUP BY ALL)
+SELECT r.*, coalesce(poles, 0) AS poles FROM r LEFT JOIN p USING (season, driver_id)""")
+def gold_driver_seasons(t: Tables) -> DataFrame:
+    """Driver seasons from the built Gold, with pole positions from the built qualifying fact."""
+    silver, target = (scratch_path(t.spark, n) for n in ("silver", "gold"))
+    pages = {"results": results_pages(t), "races": races_pages(t), "status": status_pages(t), "qualifying": qualifying_pages(t)}
+    _refine_pages(t, silver, pages)
+    stats = build_gold(t.spark, silver, target, ["agg_driver_season_stats"])["agg_driver_season_stats"]
     return stats.withColumn("total_points", F.col("total_points").cast("double"))
+
+
+@query("""
+SELECT 'driver' AS dimension, 'd' || c_custkey AS id, c_name || ' ' || c_mktsegment AS name,
+  left(c_mktsegment, 1) || lower(substr(c_mktsegment, 2)) AS nationality, (2000 + c_custkey % 3)::BIGINT AS valid_from, NULL::BIGINT AS valid_to FROM customer
+UNION ALL SELECT 'constructor', 'c' || n_nationkey, n_name, 'N' || lower(substr(n_name, 2)), 2000 + n_nationkey % 2, NULL FROM nation
+UNION ALL SELECT 'circuit', 's' || s_suppkey, 'Circuit ' || s_suppkey, 'United Kingdom', 2000 + s_suppkey % 3, NULL FROM supplier""")
+def gold_dimensions(t: Tables) -> DataFrame:
+    """The three dimensions with history from the built Gold; a circuit's country stands as its nationality."""
+    silver, target = (scratch_path(t.spark, n) for n in ("silver", "gold"))
+    _refine_pages(t, silver, {"drivers": drivers_pages(t), "constructors": constructors_pages(t), "circuits": circuits_pages(t)})
+    built = build_gold(t.spark, silver, target)
+    kinds = (("driver", "driver_id", "nationality"), ("constructor", "constructor_id", "nationality"), ("circuit", "circuit_id", "country"))
+    parts = [
+        built[f"dim_{kind}s"].select(
+            F.lit(kind).alias("dimension"), F.col(key).alias("id"), "name", F.col(place).alias("nationality"), "valid_from", "valid_to"
+        )
+        for kind, key, place in kinds
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("""
+SELECT weekofyear(ts)::INT AS season, day(ts)::INT AS round, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS points
+FROM events WHERE day(ts) % 6 <> 1 GROUP BY ALL""")
+def pruned_refresh(t: Tables) -> DataFrame:
+    """An aggregate over a stored fact in which late events came in on some days and others lost all
+    theirs, refreshed for these days only; the fact is pruned to them while the job runs."""
+    fact, path = scratch_path(t.spark, "fact"), scratch_path(t.spark, "aggregate")
+    rows = event_results(t.events)
+    gone, late = F.col("round") % 6 == 1, (F.col("round") % 4 == 0) & (F.col("constructor_id") == "purchase")
+
+    def daily(frame: DataFrame) -> DataFrame:
+        return frame.groupBy("season", "round").agg(F.count(F.lit(1)).alias("n"), F.sum("points").cast("double").alias("points"))
+
+    daily(rows.where(~late)).write.partitionBy("season", "round").parquet(path)
+    gold.write_fact(rows.where(~gone), fact, ["driver_id"])
+    stored = t.spark.read.schema(rows.schema).parquet(fact)
+    gold.refresh_aggregate(stored, rows.where(gone | late), ["season", "round"], daily, path)
+    return t.spark.read.parquet(path).select("season", "round", "n", "points")
+
+
+@query(f"""
+WITH f AS (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id, constructor_id ORDER BY points, final_position, race) AS nth FROM {_EVENTS}),
+g AS (SELECT season, round, driver_id, min(final_position) AS qualifying_position, max(points) AS best FROM {_EVENTS} WHERE race GROUP BY ALL)
+SELECT season, round, driver_id, final_position, points::DOUBLE AS points, qualifying_position, (best * 100)::BIGINT AS q1_time
+FROM f LEFT JOIN g USING (season, round, driver_id)""")
+def bucketed_join(t: Tables) -> DataFrame:
+    """Results with their qualifying, both stored in buckets by season, round and driver: no shuffle."""
+    keys = ["season", "round", "driver_id"]
+    rows = event_results(t.events)
+    best = F.max(F.when(F.col("constructor_id") != "signup", (F.col("points") * 100).cast("long")))
+    first = F.min(F.when(F.col("constructor_id") != "signup", F.col("final_position")))
+    grid = rows.groupBy(*keys).agg(first.alias("final_position"), best.alias("q1_time")).where("q1_time IS NOT NULL")
+    none = {f"q{n}_time": F.lit(None).cast("long") for n in (2, 3)}
+    name = scratch_path(t.spark, "bucketed").rsplit("-", 1)[-1]
+    stored = [
+        gold.bucketed_fact(frame, f"{kind}_{name}", scratch_path(t.spark, kind), keys, buckets=8)
+        for kind, frame in (("results", rows), ("qualifying", grid.withColumns(none)))
+    ]
+    joined = gold.results_with_qualifying(*stored)
+    return joined.select(*keys, "final_position", F.col("points").cast("double").alias("points"), "qualifying_position", "q1_time")

@@ -17,10 +17,11 @@ from smeltery.plans.staging import staged
 from smeltery.plans.worklist import still_missing, with_keys
 from smeltery.session import scratch_path
 from smeltery.sources import bronze
+from smeltery.sources.inventory import inventory_diff, object_inventory
 from smeltery.sources.models import Dataset, Level
 from smeltery.sources.registry import SOURCE
 from smeltery.sources.silver import read_parquet_as, read_silver, silver_rows
-from smeltery.sources.tables import as_view, written
+from smeltery.sources.tables import as_view, remove, written
 from smeltery.streaming.intake import append_to, drain, new_files, new_pages, refine_into, taken_in
 
 # Events as a per-round and as a global dataset, for the two shapes of the layout.
@@ -60,6 +61,27 @@ def manifest(t: Tables) -> DataFrame:
     )
 
 
+@query(f"""
+WITH p AS (SELECT DISTINCT weekofyear(ts)::INT AS season, event_type, day(ts) AS day, {_PAGE} AS page FROM events WHERE ts IS NOT NULL),
+c AS (SELECT season, CASE WHEN season = 3 THEN 'altered' WHEN season = 2 THEN 'lost' ELSE 'same' END AS change FROM p
+  UNION ALL SELECT season, 'added' FROM p WHERE season = 4)
+SELECT season, change, count(*) AS objects FROM c GROUP BY ALL""")
+def inventory_changes(t: Tables) -> DataFrame:
+    """Two inventories of a landing in which one season was altered, one lost, and one landed again."""
+    base = scratch_path(t.spark, "bronze")
+    pages = _landed(t).where("season IS NOT NULL")
+    bronze.land(pages, base, RACE_EVENTS)
+    first = written(object_inventory(t.spark, base, RACE_EVENTS), "inventory")
+    altered = pages.where("season = 3").withColumn("value", F.regexp_replace("value", '"unknownField":"x"', '"unknownField":"y"'))
+    bronze.land(altered, base, RACE_EVENTS, mode="overwrite")
+    bronze.land(_landed(t, batch="20240201T000000").where("season = 4"), base, RACE_EVENTS)
+    remove(t.spark, bronze.dataset_path(base, RACE_EVENTS, 2))
+    second = object_inventory(t.spark, base, RACE_EVENTS, known=first)
+    # Pages of several event types share a name here, so they are told apart by what they hold.
+    season = F.regexp_extract("object_key", r"season=(\d+)", 1).cast("int").alias("season")
+    return inventory_diff(first, second).groupBy(season, "change").agg(F.count(F.lit(1)).alias("objects"))
+
+
 @query(f"""
 SELECT DISTINCT '{SOURCE}/endpoint=' || event_type || '/season=' || weekofyear(ts) || '/round=' ||
   lpad(day(ts)::VARCHAR, 2, '0') || '/batch_id={BATCH}/page_' || lpad(({_PAGE})::VARCHAR, 3, '0') || '.json' AS object_key

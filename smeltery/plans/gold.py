@@ -14,6 +14,7 @@ from smeltery.functions.keys import surrogate_key
 from smeltery.operators.dedupe import latest_by_key
 from smeltery.operators.history import history
 from smeltery.operators.ordered import descending_rank
+from smeltery.sources.tables import remove, written
 
 POINTS = "decimal(18,2)"
 
@@ -278,7 +279,36 @@ def write_fact(fact: DataFrame, path: str, order: list[str]) -> None:
 
 
 def refresh_aggregate(fact: DataFrame, changed: DataFrame, keys: list[str], aggregate, path: str) -> None:
-    """Recompute an aggregate for the changed partitions only and overwrite just those."""
-    touched = fact.join(changed.select(*keys).distinct(), keys, "left_semi")
+    """Recompute an aggregate for the changed partitions only and overwrite just those.
+
+    A fact stored by ``keys`` is pruned to the changed partitions while the job runs. A changed partition
+    in which the fact has no rows any more loses its folder. ``keys`` may not be null.
+    """
+    spark = fact.sparkSession
+    # Written, so that its size is known; the comparison is what makes the planner prune by it.
+    marked = written(changed.select(*keys).distinct().withColumn("_changed", F.lit(1)), "changed").where("_changed > 0")
+    touched = fact.join(marked.select(*keys), keys, "left_semi")
     writer = aggregate(touched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(path)
+    emptied = marked.select(*keys).join(touched.select(*keys).distinct(), keys, "left_anti")
+    for row in emptied.collect():  # at most the changed partitions
+        remove(spark, "/".join([path, *(f"{k}={row[k]}" for k in keys)]))
+
+
+def bucketed_fact(fact: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A fact as a catalog table at a path of its own, bucketed and sorted by its join keys.
+
+    Tables of as many buckets on the same keys join without a shuffle. Each bucket is one file, as the
+    rows are dealt to buckets before they are written.
+    """
+    dealt = fact.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(name)
+    return fact.sparkSession.table(name)
+
+
+def results_with_qualifying(results: DataFrame, qualifying: DataFrame) -> DataFrame:
+    """Every result with the driver's qualifying of the race, if there was one."""
+    keys = ["season", "round", "driver_id"]
+    grid = qualifying.select(*keys, F.col("final_position").alias("qualifying_position"), *(f"q{n}_time" for n in (1, 2, 3)))
+    return results.join(grid, keys, "left")

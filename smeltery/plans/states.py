@@ -148,7 +148,7 @@ def refresh(rows: DataFrame, path: str, table: States) -> DataFrame:
     now = written(prints(placed), "prints")
     last = read_commits(spark, log, _PRINT, commits(spark, log)[-1:])
     changed = written(changed_rounds(last, now), "changed-rounds")
-    # A filter on the small side lets a fact stored by round be pruned while the job runs.
+    # The comparison on the small side lets a fact stored by round be pruned while the job runs.
     live = changed.where(F.col("change") != "emptied").select(*ROUND)
     states = table.of(placed.join(live, list(ROUND), "left_semi"))
     marks = changed.where(F.col("change") == "emptied").select(

@@ -7,6 +7,7 @@ sane at scale) or, as single-page landings leave it, a whole file; the reader ta
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,10 +89,12 @@ def read_pages(
     spec: Dataset,
     season: int | Sequence[int] | None = None,
     whole_files: bool = False,
+    since: datetime | None = None,
 ) -> DataFrame:
     """Pages of one dataset: path keys, page number, file path and the JSON text ``value``.
 
-    Only the folders of the season, or of those seasons that have one, are listed. Path keys are declared as text, so a batch of digits or a
+    Only the folders of the season, or of those seasons that have one, are listed; of these, with
+    ``since``, only files changed at that moment or later are opened. Path keys are declared as text, so a batch of digits or a
     zero-padded round is not guessed to be a number.
     """
     declared = ", ".join(f"{c} string" for c in ("value", *spec.partitions, "batch_id"))
@@ -101,6 +104,8 @@ def read_pages(
         .option("recursiveFileLookup", "false")
         .text(season_paths(spark, base, spec, season), wholetext=whole_files)
     )
+    if since is not None:
+        raw = raw.where(F.col("_metadata.file_modification_time") >= F.lit(since))
     path = F.col("_metadata.file_path")
     in_name = F.regexp_extract(path, r"page_(\d+)\.json", 1).try_cast("int")
     in_text = F.get_json_object("value", "$.metadata.page").try_cast("int")
@@ -136,20 +141,3 @@ def list_keys(listed: DataFrame, prefix: str = "", max_keys: int | None = None)
     """Object names below a prefix, in name order; at most ``max_keys`` if given."""
     found = listed.select("object_key").where(F.col("object_key").startswith(prefix))
     return found if max_keys is None else found.orderBy("object_key").limit(max_keys)
-
-
-def file_inventory(spark: SparkSession, base: str, spec: Dataset, season: int | None = None) -> DataFrame:
-    """Size and modification time of the landed files, from the listing; no content is kept."""
-    raw = (
-        spark.read.format("binaryFile")
-        .option("basePath", dataset_path(base, spec))
-        .option("recursiveFileLookup", "false")
-        .load(dataset_path(base, spec, season))
-    )
-    return raw.select("path", "length", "modificationTime")
-
-
-def changed_pages(landed: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Pages whose content no longer has the checksum a manifest recorded for them."""
-    before = recorded.select("object_key", F.col("digest").alias("recorded_digest"))
-    return landed.join(before, "object_key").where(F.col("digest") != F.col("recorded_digest"))

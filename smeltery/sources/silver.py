@@ -11,6 +11,7 @@ from smeltery.operators.flatten import flatten
 from smeltery.operators.validate import valid_records
 from smeltery.sources.bronze import dataset_path
 from smeltery.sources.models import Dataset
+from smeltery.sources.tables import exists
 
 LINEAGE = ("batch_id", "page", "_record_index", "_file_path")
 
@@ -62,10 +63,12 @@ def write_silver(
 
 def present_partitions(spark: SparkSession, base: str, spec: Dataset) -> DataFrame | None:
     """The partitions Silver holds of a dataset (one row if it has none to name); None without data."""
+    if not exists(spark, dataset_path(base, spec)):
+        return None
     try:
         found = spark.read.parquet(dataset_path(base, spec))
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return None
     return found.select(*(F.col(k).cast("long").alias(f"_p_{k}") for k in spec.partitions)).distinct()

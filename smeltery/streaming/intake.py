@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smeltery.operators.audit import failed
 from smeltery.operators.validate import ERROR_THRESHOLD, judge_pages, page_verdicts, quarantined_records
 from smeltery.plans.silver_run import deduplicated
 from smeltery.sources.models import Dataset
-from smeltery.sources.silver import silver_rows
+from smeltery.sources.silver import silver_rows, write_silver
 from smeltery.sources.tables import written
 
 
@@ -70,23 +73,70 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def refine_into(
-    silver: str, audit: str, spec: Dataset, threshold: float = ERROR_THRESHOLD
+    silver: str, audit: str, spec: Dataset, threshold: float = ERROR_THRESHOLD, published: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Judge every micro-batch once; keep its good rows, its verdicts and its bad records.
+    """Judge every micro-batch once; keep its good rows, its verdicts, its bad records and its progress.
 
     A batch that is replayed overwrites its own folders. Pages of later batches land beside older ones;
-    ``taken_in`` gives the rows that count.
+    ``taken_in`` gives the rows that count. With ``published`` these are also kept as a Silver there,
+    of which each micro-batch publishes the partitions it touched.
     """
 
     def handle(frame: DataFrame, batch: int) -> None:
         judged = written(judge_pages(frame, spec, threshold, gate=True), f"stream-{spec.name}")
-        parts = ((silver_rows(judged, spec), silver), (page_verdicts(judged), f"{audit}/verdicts"), (quarantined_records(judged), f"{audit}/quarantine"))
-        for rows, target in parts:
-            rows.write.mode("overwrite").parquet(f"{target}/_batch={batch}")
+        parts = {
+            silver: silver_rows(judged, spec),
+            f"{audit}/verdicts": page_verdicts(judged),
+            f"{audit}/quarantine": quarantined_records(judged),
+            f"{audit}/progress": intake_progress(judged),
+        }
+        keys = list(spec.partitions)
+        for target, rows in parts.items():
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            # Rows lie by partition, so that publishing reads the touched ones alone.
+            writer = writer.partitionBy(*keys) if target == silver and keys else writer
+            writer.parquet(f"{target}/_batch={batch}")
+        if published is not None:
+            publish_touched(frame.sparkSession, silver, published, spec, batch)
 
     return handle
 
 
+def intake_progress(judged: DataFrame) -> DataFrame:
+    """One row per file of a micro-batch: its pages, how many failed, and the records they held."""
+    return judged.groupBy(F.col("_file_path").alias("file_path")).agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(failed(F.col("verdict"))).alias("failed"), F.sum("total").alias("records")
+    )
+
+
+def read_progress(spark: SparkSession, audit: str) -> DataFrame:
+    """Which file went in with which micro-batch (``_batch``), over the life of the stream."""
+    return spark.read.parquet(f"{audit}/progress")
+
+
+def publish_touched(spark: SparkSession, silver: str, published: str, spec: Dataset, batch: int) -> None:
+    """Bring the partitions a micro-batch touched up to date: newest batch, newest record per key.
+
+    Of all that was taken in before, only these partitions are read. A micro-batch that is replayed
+    publishes the same rows again. A dataset without partitions is published whole.
+    """
+    keys = list(spec.partitions)
+    whole = spark.read.parquet(silver)
+    if not keys:
+        write_silver(deduplicated(whole.drop("_batch"), spec), published, spec)
+        return
+    touched = whole.where(F.col("_batch") == batch).select(*keys).distinct().withColumn("_touched", F.lit(1))
+    # Compared by value below, so that the planner prunes the folders of other partitions.
+    marked = written(touched, "touched").where("_touched > 0")
+    same = [F.col(f"w.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    named = marked.where(reduce(and_, (F.col(k).isNotNull() for k in keys))).select(*keys)
+    rows = whole.join(named, keys, "left_semi")
+    nowhere = marked.where(reduce(or_, (F.col(k).isNull() for k in keys)))
+    if nowhere.head(1):
+        rows = rows.unionByName(whole.alias("w").join(nowhere.alias("t"), same, "left_semi"))
+    write_silver(deduplicated(rows.drop("_batch"), spec), published, spec)
+
+
 def taken_in(spark: SparkSession, silver: str, spec: Dataset) -> DataFrame:
     """The rows a stream has taken in: newest batch per partition, newest record per key."""
     return deduplicated(spark.read.parquet(silver).drop("_batch"), spec)

@@ -1,7 +1,9 @@
 """Landing, reading, the Silver run over all datasets, and streaming intake."""
 
 import gzip
+import hashlib
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -18,10 +20,11 @@ from smeltery.plans.side_by_side import side_by_side
 from smeltery.plans.silver_run import PagesRejectedError, read_runs, run_seasons, run_silver
 from smeltery.plans.worklist import round_worklist, season_range, still_missing, with_keys, with_pages
 from smeltery.session import scratch_path
-from smeltery.sources.bronze import changed_pages, envelope, file_inventory, land, manifest, read_pages
+from smeltery.sources.bronze import envelope, land, manifest, read_pages
+from smeltery.sources.inventory import existing, inventory_diff, landed_files, object_inventory
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import read_silver
-from smeltery.sources.tables import as_table
+from smeltery.sources.tables import as_table, remove, written
 from smeltery.streaming.intake import drain, new_pages, refine_into, taken_in
 from test_pages import DRIVER, SIMPLE, TEAM, drivers
 
@@ -246,8 +249,35 @@ def test_land_read_manifest_and_checksums(spark, tmp_path):
     landing(spark, base, "26", mode="overwrite")
     again = manifest(read_pages(spark, base, spec), spec)
     assert again.count() == 1
-    assert changed_pages(again, first).count() == 1
-    assert file_inventory(spark, base, spec).count() == 1
+    assert [r["change"] for r in inventory_diff(first, again).collect()] == ["altered"]
+    assert landed_files(spark, base, spec).count() == 1
+
+
+def test_inventories_differ_by_object(spark, tmp_path):
+    base, spec = str(tmp_path), DATASETS["drivers"]
+    for season in (2021, 2022, 2023):
+        write_page(base, "drivers", "1", body("drivers"), season=season)
+    first = written(object_inventory(spark, base, spec, whole_files=True), "first")
+    one = first.where(F.col("object_key").contains("season=2022")).first()
+    assert one["etag"] == hashlib.md5(one_page(base, 2022)).hexdigest() and one["size"] == len(one_page(base, 2022))
+    assert one["tags"]["batch_id"] == "1" and one["tags"]["season"] == "2022" and "round" not in one["tags"]
+    # One page altered, one lost, one new; the rest keeps its rows without being read.
+    write_page(base, "drivers", "1", body("drivers", [{**DRIVER, "driverId": "bob"}]), season=2021)
+    remove(spark, f"{base}/ergast/endpoint=drivers/season=2022")
+    write_page(base, "drivers", "2", body("drivers"), season=2024)
+    again = written(object_inventory(spark, base, spec, known=first, whole_files=True), "again")
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, object_inventory(spark, base, spec, whole_files=True).collect()), key=str)
+    changes = {re.search(r"season=(\d+)", r["object_key"])[1]: r for r in inventory_diff(first, again).collect()}
+    assert {k: r["change"] for k, r in changes.items()} == {"2021": "altered", "2022": "lost", "2023": "same", "2024": "added"}
+    assert changes["2022"]["size_after"] is None and changes["2024"]["size_before"] is None
+    assert object_inventory(spark, base, spec, known=again, whole_files=True).count() == 3
+    asked = spark.createDataFrame([(one["object_key"],), (changes["2023"]["object_key"],)], "object_key string")
+    assert {r["object_key"]: r["exists"] for r in existing(again, asked).collect()} == {one["object_key"]: False, changes["2023"]["object_key"]: True}
+
+
+def one_page(base, season):
+    (path,) = Path(base).rglob(f"season={season}/**/*.gz")
+    return gzip.open(path).read()
 
 
 def test_keys(spark):
