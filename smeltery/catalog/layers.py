@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.catalog.frames import BATCH, EVENTS, IS_BAD, event_pages, event_record
+from smeltery.catalog.datasets import seasons_pages
+from smeltery.catalog.frames import BATCH, EVENTS, INGESTED, IS_BAD, event_pages, event_record
 from smeltery.catalog.checks import _FATES, _PAGE, _VERDICTS, _mixed_pages
 from smeltery.catalog.registry import Tables, query
 from smeltery.operators.dedupe import keep_latest_batches, latest_by_key
@@ -13,16 +14,18 @@ from smeltery.operators.validate import judge_pages
 from smeltery.operators.audit import backfill_summary
 from smeltery.operators.quality import CorruptPagesError
 from smeltery.plans.silver_run import PagesRejectedError, deduplicated, read_runs, refine, run_seasons, run_silver
-from smeltery.plans.staging import staged
+from smeltery.plans.staging import season_view, staged
 from smeltery.plans.worklist import still_missing, with_keys
 from smeltery.session import scratch_path
 from smeltery.sources import bronze
+from smeltery.sources.consolidate import consolidate, to_consolidate
 from smeltery.sources.inventory import inventory_diff, object_inventory
 from smeltery.sources.models import Dataset, Level
-from smeltery.sources.registry import SOURCE
+from smeltery.sources.registry import DATASETS, SOURCE
 from smeltery.sources.silver import read_parquet_as, read_silver, silver_rows
-from smeltery.sources.tables import as_view, remove, written
-from smeltery.streaming.intake import append_to, drain, new_files, new_pages, refine_into, taken_in
+from smeltery.sources.single_pages import read_single_pages
+from smeltery.sources.tables import as_table, as_view, remove, rename, written
+from smeltery.streaming.intake import append_to, drain, new_files, new_pages, read_progress, refine_into, taken_in
 
 # Events as a per-round and as a global dataset, for the two shapes of the layout.
 RACE_EVENTS = Dataset(
@@ -357,3 +360,95 @@ def stream_bronze(t: Tables) -> DataFrame:
         stream = new_pages(t.spark, bronze.dataset_path(base, RACE_EVENTS), RACE_EVENTS)
         drain(stream, progress, refine_into(silver, audit, RACE_EVENTS))
     return taken_in(t.spark, silver, RACE_EVENTS).select("season", "round", "event_id", "value", "batch_id")
+
+
+_DROPS = "CASE WHEN weekofyear(ts) >= 3 THEN 'b2' WHEN weekofyear(ts) = 2 THEN 'b3' ELSE 'b1' END"
+
+
+def _three_drops(t: Tables) -> tuple[str, str]:
+    """Pages taken in by a stream in three drops, the second micro-batch being replayed."""
+    base, silver, audit, progress, published = (
+        scratch_path(t.spark, n) for n in ("bronze", "taken", "audit", "progress", "published")
+    )
+    handle = refine_into(silver, audit, RACE_EVENTS, published=published)
+
+    def replayed(frame: DataFrame, batch: int) -> None:
+        for _ in range(2 if batch == 1 else 1):
+            handle(frame, batch)
+
+    weeks = {"b1": "true", "b2": "season >= 3", "b3": "season = 2"}
+    for batch, which in weeks.items():
+        bronze.land(_versioned(t, batch, RACE_EVENTS).where(which), base, RACE_EVENTS)
+        drain(new_pages(t.spark, bronze.dataset_path(base, RACE_EVENTS), RACE_EVENTS), progress, replayed)
+    return published, audit
+
+
+@query(f"""
+SELECT weekofyear(ts)::BIGINT AS season, day(ts)::BIGINT AS round, event_id, value + (weekofyear(ts) >= 3)::INT AS value,
+  {_DROPS} AS batch_id FROM events""")
+def stream_published(t: Tables) -> DataFrame:
+    """What three drops published, each only the partitions it touched."""
+    published, _ = _three_drops(t)
+    return read_silver(t.spark, published, RACE_EVENTS).select("season", "round", "event_id", "value", "batch_id")
+
+
+@query(f"""
+WITH p AS (SELECT weekofyear(ts) AS week, count(*) AS n FROM events GROUP BY weekofyear(ts), day(ts), event_type, {_PAGE})
+SELECT micro_batch, count(*) AS pages, 0::BIGINT AS failed, sum(n)::BIGINT AS records
+FROM p, (VALUES (0, 1, 60), (1, 3, 60), (2, 2, 2)) AS d(micro_batch, low, high) WHERE week BETWEEN low AND high GROUP BY micro_batch""")
+def stream_progress(t: Tables) -> DataFrame:
+    """Pages and records by the micro-batch that took their files in."""
+    _, audit = _three_drops(t)
+    return read_progress(t.spark, audit).groupBy(F.col("_batch").alias("micro_batch")).agg(
+        *(F.sum(c).alias(c) for c in ("pages", "failed", "records"))
+    )
+
+
+@query("""
+SELECT weekofyear(ts)::VARCHAR AS week, event_id, CASE WHEN event_type = 'click' THEN event_type END AS event_type,
+  CASE WHEN event_type <> 'click' THEN user_id END AS user_id, value FROM events WHERE ts IS NOT NULL""")
+def consolidated_layouts(t: Tables) -> DataFrame:
+    """A table in two layouts, one of many small files, brought into one of few files."""
+    one, two = scratch_path(t.spark, "layout"), scratch_path(t.spark, "layout")
+    rows = t.events.where("ts IS NOT NULL").withColumn("week", F.weekofyear("ts"))
+    click = F.col("event_type") == "click"
+    small = rows.where(click).select("week", "event_id", "event_type", "value").repartition(16)
+    small.write.partitionBy("week").parquet(one)
+    rows.where(~click).select("week", "event_id", "user_id", "value").write.partitionBy("week").parquet(two)
+    consolidate(t.spark, [one, two], one, ["week"], ["event_id"])
+    if to_consolidate(t.spark, [one, two], ["week"]).head(1):
+        raise RuntimeError("some partitions are still to be consolidated")
+    return read_parquet_as(t.spark, one, "event_id long, event_type string, user_id long, value double, week string")
+
+
+@query("""SELECT event_id, event_type, value FROM events""")
+def single_pages(t: Tables) -> DataFrame:
+    """Pages landed one to a file, packed; one of them lost the ending of its name."""
+    base = scratch_path(t.spark, "bronze")
+    bronze.land(_versioned(t, "b1", GLOBAL_EVENTS), base, GLOBAL_EVENTS, pages_per_file=1)
+    some = read_single_pages(t.spark, base, GLOBAL_EVENTS).select("_file_path").first()["_file_path"]
+    rename(t.spark, some, some.removesuffix(".txt.gz") + ".json")
+    pages = read_single_pages(t.spark, base, GLOBAL_EVENTS)
+    if pages.where("mislabelled").count() != 1 or pages.where("body_verdict <> 'ok'").count():
+        raise RuntimeError("every body can be unpacked, and one name is wrong")
+    rows = silver_rows(judge_pages(pages.drop("codec", "body_verdict", "mislabelled"), GLOBAL_EVENTS), GLOBAL_EVENTS)
+    return rows.select("event_id", "event_type", "value")
+
+
+@query(f"""
+SELECT year(o_orderdate)::VARCHAR AS season_year, 'u' || year(o_orderdate) AS season_url, '{BATCH}' AS batch_id,
+  '2024-01-31 00:00:00' AS ingested_at FROM orders GROUP BY ALL""")
+def season_staging(t: Tables) -> DataFrame:
+    """The staging view of the season list, straight from landed pages, and kept as a table."""
+    base = scratch_path(t.spark, "bronze")
+    pages = seasons_pages(t)
+    place = [F.col(c) for c in ("_p_season", "_p_round", "batch_id", "page")]
+    value = bronze.envelope(F.lit("seasons"), *place, F.lit(INGESTED), F.lit(None), F.col("value"))
+    keyed = pages.withColumn("value", value).withColumnsRenamed({"_p_season": "season", "_p_round": "round"})
+    bronze.land(keyed, base, DATASETS["seasons"])
+    view = as_view(season_view(bronze.read_pages(t.spark, base, DATASETS["seasons"])), "season_staging")
+    path = scratch_path(t.spark, "staging")
+    table = as_table(view, f"season_staging_{path.rsplit('-', 1)[-1]}", path)
+    return table.select(
+        "season_year", "season_url", "batch_id", F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested_at")
+    )

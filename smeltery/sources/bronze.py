@@ -66,7 +66,9 @@ def season_paths(spark: SparkSession, base: str, spec: Dataset, season: int | Se
     return [p for p in named if exists(spark, p)] or named[:1]
 
 
-def land(pages: DataFrame, base: str, spec: Dataset, mode: str = "append") -> None:
+def land(
+    pages: DataFrame, base: str, spec: Dataset, mode: str = "append", pages_per_file: int = PAGES_PER_FILE
+) -> None:
     """Write ``season, round, batch_id, value`` rows of one dataset below its partition folders.
 
     ``mode='overwrite'`` replaces just the partitions present in ``pages``.
@@ -79,7 +81,7 @@ def land(pages: DataFrame, base: str, spec: Dataset, mode: str = "append") -> No
     frame = pages.select("value", *(outputs[k] for k in spec.partitions), "batch_id")
     # Rebalancing gathers a folder's pages into few files but still splits a folder that is large.
     writer = frame.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys)
-    writer = writer.option("compression", "gzip").option("maxRecordsPerFile", PAGES_PER_FILE)
+    writer = writer.option("compression", "gzip").option("maxRecordsPerFile", pages_per_file)
     writer.option("partitionOverwriteMode", "dynamic").text(dataset_path(base, spec))
 
 

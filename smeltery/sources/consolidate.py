@@ -6,7 +6,8 @@ are read and written. Layouts that differ in columns are joined by name, absent
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,29 @@ from smeltery.sources.tables import exists, remove, written, written_at
 FILE_BYTES = 128 << 20
 
 
-def file_sizes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """``<keys>, file_path, file_size`` of the Parquet files below a path; no content is read."""
-    listed = spark.read.format("binaryFile").option("basePath", path).option("pathGlobFilter", "*.parquet").load(path)
-    return listed.select(*(F.col(k) for k in keys), F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size"))
+@contextmanager
+def keys_as_text(spark: SparkSession) -> Iterator[None]:
+    """Partition keys come as the text of their folders, so that they are written to the same ones."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def file_sizes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+    """``<keys>, file_path, file_size`` of the Parquet files below a path, None if it holds no partition; no
+    content is read.
+    """
+    if not exists(spark, path):
+        return None
+    with keys_as_text(spark):
+        listed = spark.read.format("binaryFile").option("basePath", path).option("pathGlobFilter", "*.parquet").load(path)
+    if not set(keys) <= set(listed.columns):
+        return None
+    return listed.select(*keys, F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size"))
 
 
 def to_consolidate(
@@ -30,9 +50,10 @@ def to_consolidate(
     """``<keys>, files, bytes, wanted`` of the partitions with more files than their bytes call for, or
     with files in more than one layout (path).
     """
-    sizes = [file_sizes(spark, p, keys).withColumn("_layout", F.lit(i)) for i, p in enumerate(paths) if exists(spark, p)]
+    found = [(i, file_sizes(spark, p, keys)) for i, p in enumerate(paths)]
+    sizes = [files.withColumn("_layout", F.lit(i)) for i, files in found if files is not None]
     if not sizes:
-        raise ValueError("none of the paths exists")
+        raise ValueError("none of the paths holds a partition")
     total = reduce(DataFrame.unionByName, sizes).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"), F.count_distinct("_layout").alias("layouts")
     )
@@ -54,13 +75,15 @@ def consolidate(
     partition is dealt to as many files as its bytes call for, so a large one is split over tasks, and
     sorted by ``order`` inside. Rows are written aside first and then swapped in partition by partition,
     so a job that breaks off leaves every partition as it was or as it shall be; in the other paths the
-    partition is emptied only after that. Partitions of other paths that need nothing are copied too.
+    partition is emptied only after that. Partitions of other paths that need nothing are copied too;
+    those with a null key stay where they are.
     """
     keys = list(keys)
     chosen = written(to_consolidate(spark, paths, keys, file_bytes), "chosen")
-    there = [p for p in paths if exists(spark, p)]
+    listed = {p: file_sizes(spark, p, keys) for p in paths}
+    there = [p for p, files in listed.items() if files is not None]
     # Partitions that lie outside the target alone move into it as they are, but for their files.
-    outside = [file_sizes(spark, p, keys).groupBy(*keys).agg(F.sum("file_size").alias("_bytes")) for p in there if p != target]
+    outside = [listed[p].groupBy(*keys).agg(F.sum("file_size").alias("_bytes")) for p in there if p != target]
     if outside:
         size = F.greatest(F.lit(1), F.ceil(F.sum("_bytes") / file_bytes)).cast("int").alias("wanted")
         moved = reduce(DataFrame.unionByName, outside).groupBy(*keys).agg(size)
@@ -68,13 +91,15 @@ def consolidate(
         plan = written(chosen.select(*keys, "wanted").unionByName(rest), "plan")
     else:
         plan = chosen.select(*keys, "wanted")
-    layouts = [spark.read.option("basePath", p).parquet(p) for p in there]
+    with keys_as_text(spark):
+        layouts = [spark.read.option("basePath", p).parquet(p) for p in there]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layouts)
     rows = whole.join(plan.where("wanted > 0"), keys)
     dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*[c for c in whole.columns if c not in keys]), F.col("wanted")).cast("int"))
     aside = scratch_path(spark, "consolidated")
     kept = written_at(dealt.drop("wanted"), aside)
-    swapped = kept.hint("rebalance", *keys, "_file").sortWithinPartitions(*keys, "_file", *order).drop("_file")
+    tasks = plan.agg(F.sum("wanted")).first()[0] or 1
+    swapped = kept.repartition(int(tasks), *keys, "_file").sortWithinPartitions(*keys, "_file", *order).drop("_file")
     writer = swapped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(target)
     for path in there:

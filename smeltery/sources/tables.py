@@ -32,6 +32,13 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = place(old).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.rename(place(old), place(new)):
+        raise OSError(f"{old} cannot be renamed")
+
+
 def as_view(frame: DataFrame, name: str) -> DataFrame:
     frame.createOrReplaceTempView(name)
     return frame.sparkSession.table(name)

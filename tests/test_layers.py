@@ -21,11 +21,13 @@ from smeltery.plans.silver_run import PagesRejectedError, read_runs, run_seasons
 from smeltery.plans.worklist import round_worklist, season_range, still_missing, with_keys, with_pages
 from smeltery.session import scratch_path
 from smeltery.sources.bronze import envelope, land, manifest, read_pages
+from smeltery.sources.consolidate import consolidate, to_consolidate
 from smeltery.sources.inventory import existing, inventory_diff, landed_files, object_inventory
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import read_silver
+from smeltery.sources.single_pages import read_single_pages
 from smeltery.sources.tables import as_table, remove, written
-from smeltery.streaming.intake import drain, new_pages, refine_into, taken_in
+from smeltery.streaming.intake import drain, new_pages, read_progress, refine_into, taken_in
 from test_pages import DRIVER, SIMPLE, TEAM, drivers
 
 CIRCUIT = {"circuitId": "spa", "circuitName": "Spa", "url": "u", "Location": {"lat": "50.4", "long": "5.9", "locality": "Spa", "country": "belgium"}}
@@ -378,3 +380,80 @@ def test_runs_over_ten_weeks_match_their_sql(spark, tmp_path, name):
     assert spread.select(F.weekofyear("ts")).distinct().count() == 10
     con = connect_to({"events": f"{tmp_path}/events.parquet/*.parquet"})
     assert difference(QUERIES[name].run(spark, str(tmp_path)), con, QUERIES[name].sql) == ""
+
+
+def partition_files(path):
+    found = {}
+    for p in Path(path).rglob("*.parquet"):
+        found.setdefault("/".join(x for x in p.parts if "=" in x), []).append(p)
+    return found
+
+
+def test_consolidation_writes_what_needs_it(spark, tmp_path):
+    one, two = f"{tmp_path}/one", f"{tmp_path}/two"
+    rows = spark.range(3000).selectExpr("id", "id * 2 AS a", "lpad(id % 3, 2, '0') AS k", "'x' AS j")
+    rows.where("k = '00'").coalesce(1).write.partitionBy("k", "j").parquet(one)
+    rows.where("k = '01'").repartition(7).write.mode("append").partitionBy("k", "j").parquet(one)
+    rows.where("k = '02'").selectExpr("id", "-id AS b", "k", "j").repartition(3).write.partitionBy("k", "j").parquet(two)
+    rows.where("k = '01'").limit(5).selectExpr("id + 9000 AS id", "1L AS b", "k", "j").write.mode("append").partitionBy("k", "j").parquet(two)
+    before = partition_files(one)["k=00/j=x"]
+    done = {(r["k"], r["files"], r["wanted"]) for r in consolidate(spark, [one, two], one, ["k", "j"], ["id"]).collect()}
+    assert done == {("01", 8, 1), ("02", 3, 1)}
+    files = partition_files(one)
+    assert {k: len(v) for k, v in files.items()} == {"k=00/j=x": 1, "k=01/j=x": 1, "k=02/j=x": 1}
+    assert files["k=00/j=x"] == before and not partition_files(two)
+    back = spark.read.schema("id long, a long, b long, k string, j string").parquet(one)
+    assert back.count() == 3005 and back.where("k = '02' AND a IS NULL AND b = -id").count() == 1000
+    assert back.where("k = '01' AND b = 1").count() == 5
+    assert to_consolidate(spark, [one, two], ["k", "j"]).count() == 0
+    # A small size calls for more files; a partition of any size is split.
+    consolidate(spark, [one], f"{tmp_path}/three", ["k", "j"], file_bytes=1000)
+    assert all(len(v) > 1 for v in partition_files(f"{tmp_path}/three").values())
+    assert spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/three").count() == 3005
+    with pytest.raises(ValueError):
+        to_consolidate(spark, [f"{tmp_path}/none"], ["k"])
+
+
+def test_bodies_are_told_apart_by_their_bytes(spark, tmp_path):
+    base, spec = str(tmp_path), DATASETS["drivers"]
+    folder = Path(base, "ergast", "endpoint=drivers", "season=2024", "batch_id=007")
+    folder.mkdir(parents=True)
+    text = json.dumps({"metadata": {"page": 9}, "data": body("drivers")})
+    bodies = {
+        "page_001.json": text.encode(), "page_002.json": gzip.compress(text.encode()), "page_003.json.gz": gzip.compress(text.encode()),
+        "page_004.json.gz": text.encode(), "page_005.json": gzip.compress(text.encode())[:-9], "page_006.json": b"\xff\xfe",
+        "data.json": text.encode(), "page_008.json": b"", "page_010.json": gzip.compress("é".encode()) + b"rest",
+    }
+    for name, content in bodies.items():
+        (folder / name).write_bytes(content)
+    found = {r["page"]: r for r in read_single_pages(spark, base, spec, 2024).collect()}
+    assert {p: (r["codec"], r["body_verdict"], r["mislabelled"]) for p, r in found.items()} == {
+        1: ("plain", "ok", False), 2: ("gzip", "ok", True), 3: ("gzip", "ok", False), 4: ("plain", "ok", True),
+        5: ("gzip", "bad_gzip", True), 6: ("plain", "not_text", False), 9: ("plain", "ok", False),
+        10: ("gzip", "bad_gzip", True),
+    }
+    assert all(found[p]["value"] == text for p in (1, 2, 3, 4, 9))
+    assert found[5]["value"] is None and found[6]["value"] is None
+    assert {(r["_p_season"], r["_p_round"], r["batch_id"]) for r in found.values()} == {(2024, None, "007")}
+
+
+def test_a_stream_publishes_what_it_touched(spark, tmp_path):
+    base, spec = str(tmp_path / "b"), DATASETS["circuits"]
+    silver, audit, progress, published = (str(tmp_path / n) for n in ("s", "a", "p", "out"))
+    handle = refine_into(silver, audit, spec, published=published)
+
+    def drop(season, batch, place):
+        # On one line, as a stream reads text by lines.
+        document = {"metadata": {"batch_id": batch, "page": 1}, "data": body("circuits", [{**CIRCUIT, "circuitName": place}])}
+        write_page(base, "circuits", batch, None, raw=json.dumps(document), season=season)
+        drain(new_pages(spark, str(Path(base, "ergast", "endpoint=circuits")), spec), progress, handle)
+        return {str(p): p.stat().st_mtime_ns for p in Path(published).rglob("*.parquet")}
+
+    first, second, third = drop(2023, "1", "Old"), drop(2024, "1", "Spa"), drop(2024, "2", "Spa II")
+    assert first.items() <= second.items()
+    assert {p for p in third if p in second} == {p for p in second if "season=2023" in p}
+    rows = sorted((r["season"], r["name"], r["batch_id"]) for r in read_silver(spark, published, spec).collect())
+    assert rows == [(2023, "Old", "1"), (2024, "Spa II", "2")]
+    went = sorted((r["_batch"], r["pages"], r["failed"], r["records"]) for r in read_progress(spark, audit).collect())
+    assert went == [(0, 1, 0, 1), (1, 1, 0, 1), (2, 1, 0, 1)]
+    assert read_progress(spark, audit).select("file_path").distinct().count() == 3
