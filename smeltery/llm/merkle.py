@@ -23,8 +23,8 @@ from smeltery.llm.common import cut, prepared, row_number_key
 from smeltery.llm.ranks import numbered
 
 FAN = 8
+# Levels of a block, which holds so many levels' worth of nodes: 4,096.
 LEVELS = 4
-BLOCK = FAN**LEVELS
 
 # A path: for each level the digests before and behind one's own, joined, from the leaf upwards.
 _PATH = "array<struct<before:string,behind:string>>"
@@ -95,26 +95,26 @@ def leaf_digest(columns: list[Column]) -> Column:
     return F.sha2(F.concat(*map(_field, columns)).cast("binary"), 256)
 
 
-def _blocked(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("place") / BLOCK))
+def _blocked(nodes: DataFrame, levels: int) -> DataFrame:
+    return nodes.withColumn("block", F.floor(F.col("place") / FAN**levels))
 
 
-def _tree(block: pd.DataFrame) -> PersistentTree:
+def _tree(block: pd.DataFrame, levels: int) -> PersistentTree:
     """The first version of a block; the only block of a branch ends in the branch's subroot."""
-    return PersistentTree(block["digest"].tolist(), None if block["of"].iloc[0] <= BLOCK else LEVELS)
+    return PersistentTree(block["digest"].tolist(), None if block["of"].iloc[0] <= FAN**levels else levels)
 
 
-def _tops(nodes: DataFrame) -> DataFrame:
+def _tops(nodes: DataFrame, levels: int) -> DataFrame:
     """The top of every block, as a node of the next table."""
 
     def top(block: pd.DataFrame) -> pd.DataFrame:
-        tree = _tree(block.sort_values("place"))
+        tree = _tree(block.sort_values("place"), levels)
         row = block.iloc[0]
         return pd.DataFrame(
             {
                 "branch": [row["branch"]],
                 "place": [row["block"]],
-                "of": [-(-row["of"] // BLOCK)],
+                "of": [-(-row["of"] // FAN**levels)],
                 "digest": [tree.digests[tree.first]],
             }
         )
@@ -122,22 +122,26 @@ def _tops(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("branch", "block").applyInPandas(top, _NODE)
 
 
-def _grown(leaves: DataFrame) -> list[DataFrame]:
+def _grown(leaves: DataFrame, levels: int) -> list[DataFrame]:
     """Tables of nodes, from the leaves up to the one with a single node per branch."""
-    tables = [_blocked(leaves)]
+    tables = [_blocked(leaves, levels)]
     while len(tables) == 1 or tables[-1].where("of > 1").head(1):
-        tables.append(_blocked(cut(_tops(tables[-1]))))
+        tables.append(_blocked(cut(_tops(tables[-1], levels)), levels))
     return tables
 
 
 def _beneath(
-    nodes: DataFrame, above: DataFrame, answer: Callable[[PersistentTree, pd.DataFrame, pd.Series], pd.DataFrame], schema: str
+    nodes: DataFrame,
+    above: DataFrame,
+    answer: Callable[[PersistentTree, pd.DataFrame, pd.Series], pd.DataFrame],
+    schema: str,
+    levels: int,
 ) -> DataFrame:
     """Apply ``answer`` to every block, given its tree and the row of ``above`` about its top."""
 
     def visit(block: pd.DataFrame, tops: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("place", ignore_index=True)
-        return answer(_tree(block), block, tops.iloc[0])
+        return answer(_tree(block, levels), block, tops.iloc[0])
 
     tops = above.withColumnRenamed("place", "block")
     return nodes.groupBy("branch", "block").cogroup(tops.groupBy("branch", "block")).applyInPandas(visit, schema)
@@ -147,7 +151,7 @@ def _steps(top: pd.Series) -> list[tuple[str, str]]:
     return [(step["before"], step["behind"]) for step in top["path"]]
 
 
-def _paths(tables: list[DataFrame], last: DataFrame, lowest: int) -> DataFrame:
+def _paths(tables: list[DataFrame], last: DataFrame, lowest: int, levels: int) -> DataFrame:
     """Paths of the nodes of table ``lowest``, from those (``branch, place, path``) of the last one."""
 
     def answer(tree: PersistentTree, block: pd.DataFrame, top: pd.Series) -> pd.DataFrame:
@@ -156,7 +160,7 @@ def _paths(tables: list[DataFrame], last: DataFrame, lowest: int) -> DataFrame:
         return pd.DataFrame({"branch": block["branch"], "place": block["place"], "path": paths})
 
     for nodes in reversed(tables[lowest:-1]):
-        last = cut(_beneath(nodes, last, answer, f"branch string, place long, path {_PATH}"))
+        last = cut(_beneath(nodes, last, answer, f"branch string, place long, path {_PATH}", levels))
     return last
 
 
@@ -168,6 +172,7 @@ def merkle_manifest(
     id_col: str = "doc_id",
     branch_col: str = "lang",
     text_col: str = "text",
+    levels: int = LEVELS,
 ) -> DataFrame:
     """One row per input row: ``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified``.
 
@@ -176,7 +181,8 @@ def merkle_manifest(
     ``subroot`` (a lone leaf itself). The subroots, by branch (null first, by UTF-8 bytes), make ``root``
     alike. ``proof_sha256`` hashes the siblings of the path to the root. Rows ``tampered`` get a version of
     the tree with their ``text_col`` replaced by ``forged_text``; ``folded_root`` is that version's root,
-    for other rows the one their own leaf folds to, and ``verified`` tells whether it is ``root``.
+    for other rows the one their own leaf folds to, and ``verified`` tells whether it is ``root``. ``levels`` is the
+    height of the blocks that tasks hold; it changes no result.
 
     Nulls: a null value of a named column hashes as ``-``; null ids come first in their branch, null
     branches are one branch; a null in ``tampered`` counts as false. Ties: equal ids are ordered by leaf,
@@ -196,16 +202,16 @@ def merkle_manifest(
         row_number_key().alias("row"),
     )
     # Cut before they are sorted, as dealing rows by ranges reads them twice.
-    tables = _grown(cut(numbered(cut(rows), "branch", ["id", "digest", "row"])))
+    tables = _grown(cut(numbered(cut(rows), "branch", ["id", "digest", "row"])), levels)
     # The subroots are the leaves of a tree of their own, which holds a single branch.
     subroots = tables[-1].select(F.lit("").alias("branch"), F.col("branch").alias("name"), "digest")
-    upper = _grown(cut(numbered(subroots, "branch", ["name"])))
+    upper = _grown(cut(numbered(subroots, "branch", ["name"])), levels)
     whole = upper[-1].head(1)
     root = whole[0]["digest"] if whole else None
-    over = _paths(upper, upper[-1].select("branch", "place", F.array().cast(_PATH).alias("path")), 0)
+    over = _paths(upper, upper[-1].select("branch", "place", F.array().cast(_PATH).alias("path")), 0, levels)
     named = upper[0].join(over, "place").select(F.col("name").alias("branch"), "path", F.col("digest").alias("subroot"))
     tops = named.select("branch", F.lit(0).cast("long").alias("place"), "path")
-    paths = _paths(tables, tops, 1).join(named.select("branch", "subroot"), "branch")
+    paths = _paths(tables, tops, 1, levels).join(named.select("branch", "subroot"), "branch")
 
     def answer(tree: PersistentTree, block: pd.DataFrame, top: pd.Series) -> pd.DataFrame:
         upwards = _steps(top)
@@ -228,7 +234,7 @@ def merkle_manifest(
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"doc_id {kind}, leaf string, subroot string, proof_sha256 string, folded_root string"
-    return _beneath(tables[0], paths, answer, schema).select(
+    return _beneath(tables[0], paths, answer, schema, levels).select(
         "doc_id", "leaf", "subroot", F.lit(root).alias("root"), "proof_sha256", "folded_root",
         (F.col("folded_root") == root).alias("verified"),
     )

@@ -179,12 +179,12 @@ def plain_manifest(rows):
     return sorted(out, key=repr)
 
 
-def manifest_of(spark, rows):
+def manifest_of(spark, rows, levels=4):
     schema = "doc_id long, source string, lang string, n_chars long, text string"
     clash = ("branch", "place", "of", "digest", "forged", "row", "path", "block")
     docs = cut(spark.createDataFrame(rows, schema).withColumns({c: F.lit(3) for c in clash}))
     marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
-    found = merkle.merkle_manifest(docs, marked, lowered_ascii(F.col("text"))).collect()
+    found = merkle.merkle_manifest(docs, marked, lowered_ascii(F.col("text")), levels=levels).collect()
     return sorted((tuple(r) for r in found), key=repr)
 
 
@@ -199,13 +199,11 @@ def drawn_rows(seed, sizes):
 
 
 @pytest.mark.parametrize("levels", [1, 2, 4])
-def test_manifest_matches_plain_trees(spark, monkeypatch, levels):
+def test_manifest_matches_plain_trees(spark, levels):
     """Blocks of 8, 64 and 4,096 leaves: many tables of nodes, some, and one block a branch."""
-    monkeypatch.setattr(merkle, "LEVELS", levels)
-    monkeypatch.setattr(merkle, "BLOCK", 8**levels)
     rows = drawn_rows(levels, {None: 1, "": 9, "de": 65, "é": 130, "en": 513, "z": 8})
     rows += [(None, None, "de", None, None), (None, "s", "de", 1, "A"), rows[20], rows[20], (7, "s", "en", 1, "A"), (7, "s", "en", 2, "B")]
-    found = manifest_of(spark, rows)
+    found = manifest_of(spark, rows, levels)
     assert found == plain_manifest(rows)
     assert {r[-1] for r in found} == {True, False}
 
