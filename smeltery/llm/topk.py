@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from smeltery.llm.common import partitions, prepared, row_number_key
 
-# Candidates and queries of one block; a task holds one block of each, and scores of some queries.
-CANDIDATES, QUERIES = 4096, 1024
+# Candidates and queries of one block; a task holds one block of each, and scores of some queries. Every
+# block of one kind travels once per block of the other, so blocks are as large as a task can hold.
+CANDIDATES, QUERIES = 1 << 16, 1 << 16
 SCORES = 1 << 21
 
 
