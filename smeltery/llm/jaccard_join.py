@@ -436,8 +436,9 @@ def jaccard_classes(
     A text of one to four words is a single shingle of them all. Null, empty and wordless texts have
     no shingles, are linked to nothing and form classes of their own. A null id sorts last, so it is a
     class's id only if the class has no other. Repeated rows count as further copies. A threshold for
-    which no bands find pairs as surely as at 0.8 is an error (below 0.077). Empty table: no rows. Only the two named columns are read. The frame must give its rows in the same order each
-    time it is read, as files do; checkpoint any other first.
+    which no bands find pairs as surely as at 0.8 is an error (below 0.077). Empty table: no rows. Only
+    the two named columns are read. The frame must give its rows in the same order each time it is
+    read, as files do; checkpoint any other first.
     """
     return _memberships(docs, id_col, text_col, threshold, tolerance).select(
         F.col("id").alias("doc_id"), F.col("class.id").alias("class_id"), "n_links", "n_sets"
@@ -447,7 +448,14 @@ def jaccard_classes(
 def without_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The documents, all columns kept, one of each class: the one with the smallest id."""
+    """The documents, all columns kept, one of each class: the one with the smallest id.
+
+    Classes are those of ``jaccard_classes``. Null, empty and wordless texts are linked to nothing and all
+    stay. Of equal ids in a class the first row stays, so repeated rows are reduced to one; a null id
+    stays only where its class has no other. An empty table gives no rows. Only the two named columns are
+    judged by, so further columns, of whatever name, change nothing. Texts of any length are read
+    whole. The frame must repeat its row order, as files do.
+    """
     found = _memberships(docs, id_col, text_col, threshold, TOLERANCE)
     gone = cut(found.where(F.col("class.row") != F.col("row")).select(F.col("row").alias("gone")))
     name = "place"

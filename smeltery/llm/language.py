@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from smeltery.llm.common import prepared, texts
 from smeltery.llm.grams import gram_hashes
 from smeltery.llm.sample import hashed_below
+from smeltery.sources.tables import written
 
 SIZE = 3
 BITS = 16
@@ -146,9 +147,9 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPL
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
     distinct = known.select("lang", F.xxhash64("text").alias("text")).distinct()
-    # A row per language, whatever the corpus.
-    shares = distinct.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(sample) / F.count("*")).alias("share"))
-    picked = known.join(F.broadcast(shares), "lang").where(hashed_below("text", F.col("share")))
+    # Written, so that the planner knows how many languages there are and sends them to the texts if few.
+    shares = written(distinct.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(sample) / F.count("*")).alias("share")), "languages")
+    picked = known.join(shares, "lang").where(hashed_below("text", F.col("share")))
     picked = picked.select("lang", "text").distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,7 +243,8 @@ def language(
 
     A text that is null or has no letter is ``und`` with score 0 and no languages, as is every text
     if nothing could be learned. A null id is not held out. Repeated texts of a language are learned
-    once, repeated rows are judged like others. An empty table gives no rows. Only the named columns are read; texts are read whole.
+    once, repeated rows are judged like others. An empty table gives no rows. Only the named columns are
+    read; texts are read whole.
     """
     model = train(docs.where(~held_out(id_col)), text_col, lang_col, sample)
     return identified(docs, model, id_col, text_col).select(

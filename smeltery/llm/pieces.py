@@ -244,7 +244,8 @@ def encoded(
 def decoded(docs: DataFrame, model_path: str, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
     """The rows, all columns kept, with the text of their piece ids; null ids give a null text.
 
-    Ids of control pieces decode to nothing. An input column named like the result is replaced.
+    Ids of control pieces decode to nothing, empty lists to an empty text. Repeated rows decode alike; an
+    empty table gives no rows. An input column named like the result is replaced, all others stay.
     """
     prepared(docs.sparkSession)
     source = docs.drop(text_col)
