@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.common import prepared, texts
+from smeltery.llm.common import cut, prepared, texts
 from smeltery.llm.fit import Rows, minimise
 from smeltery.llm.grams import codes, gram_hashes
 from smeltery.llm.sample import weighed_texts
@@ -54,25 +54,31 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, weighed: np.ndarray | None = None) -> Model:
-    """The model of sample texts given by their n-grams, each counting once or by its weight; without
-    both classes all texts score 0.
+@dataclass(frozen=True)
+class Ratios:
+    """Which n-grams are used, their log-count ratios, and the number of each among the used ones."""
+
+    used: np.ndarray
+    scale: np.ndarray
+    number: np.ndarray
+
+
+def ratios(bad: np.ndarray, good: np.ndarray, toxic: int, other: int) -> Ratios:
+    """From how many texts of either class hold each n-gram, and how many texts there are."""
+    ratio = np.log((bad + SMOOTH) / (toxic + 2 * SMOOTH)) - np.log((good + SMOOTH) / (other + 2 * SMOOTH))
+    used = (bad + good >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
+    return Ratios(used, ratio[used], np.cumsum(used) - 1)
+
+
+def fit(kept: list[np.ndarray], toxic: np.ndarray, found: Ratios, weighed: np.ndarray | None = None) -> Model:
+    """The model of sample texts given by the numbers of their used n-grams, each counting once or by
+    its weight; without both classes all texts score 0.
     """
     weights = np.zeros(1 << BITS, np.float32)
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model(weights, -30.0)
-    width = 1 << BITS
-    bad, good = np.zeros(width), np.zeros(width)
-    for row, is_toxic in zip(rows, toxic, strict=True):
-        (bad if is_toxic else good)[row] += 1
-    ratio = np.log((bad + SMOOTH) / (toxic.sum() + 2 * SMOOTH)) - np.log(
-        (good + SMOOTH) / ((~toxic).sum() + 2 * SMOOTH)
-    )
-    used = (bad + good >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
-    number = np.cumsum(used) - 1
-    kept = [number[r[used[r]]] for r in rows]
-    scale = ratio[used]
-    table, size = Rows(kept), int(used.sum())
+    scale = found.scale
+    table, size = Rows(kept), len(scale)
     sign = np.where(toxic, 1.0, -1.0)
     each = np.ones(len(sign)) if weighed is None else weighed
     share = each / each.sum()
@@ -83,9 +89,9 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, weighed: np.ndarray | None =
         slope = np.append(table.transposed_times(pull, size) * scale + PENALTY * x[:-1], pull.sum())
         return float(share @ np.logaddexp(0, -margin) + PENALTY / 2 * x[:-1] @ x[:-1]), slope
 
-    found = minimise(loss, np.zeros(size + 1), STEPS)
-    weights[used] = found[:-1] * scale
-    return Model(weights, float(found[-1]))
+    best = minimise(loss, np.zeros(size + 1), STEPS)
+    weights[found.used] = best[:-1] * scale
+    return Model(weights, float(best[-1]))
 
 
 def held_out(id_col: str | Column, folds: int = 5) -> Column:
@@ -97,21 +103,43 @@ def held_out(id_col: str | Column, folds: int = 5) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on ``docs`` (id, text) and ``labels`` (id, label 0 or 1), of which ``sample`` rows of each
     class are used, picked by a hash of the id and weighed so that the classes keep their shares; a
-    class with fewer rows is used whole.
+    class with fewer rows is used whole. N-grams are counted, and so chosen, by Spark; of the texts
+    only the chosen ones reach the driver.
     """
     picked, _, weights = weighed_texts(docs, labels.where("label IN (0, 1)"), sample)
+    picked = cut(picked)
+    classes = {r["label"]: r["count"] for r in picked.groupBy("label").count().collect()}
+    held = _counted(picked).toPandas()  # at most a row per n-gram
+    bad, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    bad[held["gram"]], good[held["gram"]] = held["bad"], held["good"]
+    chosen = ratios(bad, good, classes.get(1, 0), classes.get(0, 0))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(
-                {"label": batch["label"], "grams": [features(t).astype("<u4").tobytes() for t in batch["text"]]}
-            )
+            rows = [features(t) for t in batch["text"]]
+            numbers = [chosen.number[r[chosen.used[r]]].astype("<u4").tobytes() for r in rows]
+            yield pd.DataFrame({"label": batch["label"], "grams": numbers})
 
     found = picked.mapInPandas(extract, "label int, grams binary").toPandas()
     # The order in which tasks end must not change the sums.
     found = found.sort_values(["label", "grams"], ignore_index=True)
     weighed = found["label"].map(weights).to_numpy(float)
-    return fit([np.frombuffer(g, "<u4") for g in found["grams"]], found["label"].to_numpy() == 1, weighed)
+    return fit([np.frombuffer(g, "<u4") for g in found["grams"]], found["label"].to_numpy() == 1, chosen, weighed)
+
+
+def _counted(picked: DataFrame) -> DataFrame:
+    """``gram, bad, good``: how many toxic and other texts hold each n-gram."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for label, text in zip(batch["label"], batch["text"], strict=True):
+                held[label, features(text)] += 1
+        some = np.flatnonzero(held.any(0))
+        yield pd.DataFrame({"gram": some, "bad": held[1, some], "good": held[0, some]})
+
+    counts = picked.mapInPandas(count, "gram long, bad long, good long").groupBy("gram")
+    return counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,7 +175,8 @@ def toxicity(
     score of 0.5 on.
 
     A null text counts as empty; an empty text scores by the bias alone. A null id has no label and
-    counts as not held out. Repeated rows are scored alike; repeated labels are learned once. Without labels of both classes every score is 0. An empty table gives no rows. Only the named columns are
+    counts as not held out. Repeated rows are scored alike; repeated labels are learned once. Without
+    labels of both classes every score is 0. An empty table gives no rows. Only the named columns are
     read. Texts of any length are scored whole.
     """
     model = _learned(docs, labels, id_col, text_col, label_col, sample)
@@ -165,7 +194,11 @@ def _learned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 def without_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> DataFrame:
-    """The documents, all columns kept, that are not predicted toxic; nulls as in ``toxicity``."""
+    """The documents, all columns kept, that are not predicted toxic.
+
+    Learning, nulls and empty texts are as in ``toxicity``. Repeated rows stay or go alike; without labels
+    of both classes all stay; an empty table gives no rows. Texts of any length are scored whole.
+    """
     spark = prepared(docs.sparkSession)
     model = _learned(docs, labels, id_col, text_col, label_col, SAMPLE)
     shared = spark.sparkContext.broadcast(model)
