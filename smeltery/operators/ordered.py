@@ -41,7 +41,9 @@ def neighbours(
     ``<prefix>exists`` tells a missing neighbour from one holding NULLs. ``order`` must be total.
     """
     direction = F.desc if forward else F.asc
-    cut = frame.withColumn(CHUNK, chunk)
+    # Dealt before anything is summed up: texts are aggregated by sorting, and no task is to sort all of a file
+    # it reads. The window needs the same distribution.
+    cut = frame.withColumn(CHUNK, chunk).repartition(*keys, CHUNK)
     packed = F.struct(*(F.col(v).alias(v) for v in values))
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*(direction(c) for c in order))
     local = cut.withColumn("_local", F.lag(packed).over(inside))

@@ -35,9 +35,10 @@ def driver_snapshots(drivers: DataFrame, teams: DataFrame | None = None) -> Data
     if teams is None:
         return named
     last = F.max_by("constructor_constructor_id", F.struct("round", "constructor_constructor_id"))
-    team = teams.groupBy(F.col("driver_driver_id").alias("driver_id"), "season").agg(
-        last.alias("constructor_id")
-    )
+    # Texts are aggregated by sorting: dealt by key first, no task sorts all of a file it reads. A key's rows
+    # are bounded by the calendar, and what follows needs the same distribution.
+    dealt = teams.withColumn("driver_id", F.col("driver_driver_id")).repartition("driver_id", "season")
+    team = dealt.groupBy("driver_id", "season").agg(last.alias("constructor_id"))
     return named.join(team, ["driver_id", "season"], "left")
 
 
