@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from smeltery.catalog.datasets import seasons_pages
@@ -426,13 +426,19 @@ def single_pages(t: Tables) -> DataFrame:
     """Pages landed one to a file, packed; one of them lost the ending of its name."""
     base = scratch_path(t.spark, "bronze")
     bronze.land(_versioned(t, "b1", GLOBAL_EVENTS), base, GLOBAL_EVENTS, pages_per_file=1)
-    some = read_single_pages(t.spark, base, GLOBAL_EVENTS).select("_file_path").first()["_file_path"]
+    some = bronze.read_pages(t.spark, base, GLOBAL_EVENTS, whole_files=True).select("_file_path").first()["_file_path"]
     rename(t.spark, some, some.removesuffix(".txt.gz") + ".json")
-    pages = read_single_pages(t.spark, base, GLOBAL_EVENTS)
-    if pages.where("mislabelled").count() != 1 or pages.where("body_verdict <> 'ok'").count():
+    # Counted while the files are read for the only time, as opening them is most of the work.
+    seen = Observation()
+    pages = read_single_pages(t.spark, base, GLOBAL_EVENTS).observe(
+        seen,
+        F.count_if(F.col("mislabelled")).alias("mislabelled"),
+        F.count_if(F.col("body_verdict") != "ok").alias("lost"),
+    )
+    judged = written(judge_pages(pages.drop("codec", "body_verdict", "mislabelled"), GLOBAL_EVENTS), "judged")
+    if seen.get["mislabelled"] != 1 or seen.get["lost"]:
         raise RuntimeError("every body can be unpacked, and one name is wrong")
-    rows = silver_rows(judge_pages(pages.drop("codec", "body_verdict", "mislabelled"), GLOBAL_EVENTS), GLOBAL_EVENTS)
-    return rows.select("event_id", "event_type", "value")
+    return silver_rows(judged, GLOBAL_EVENTS).select("event_id", "event_type", "value")
 
 
 @query(f"""

@@ -25,13 +25,13 @@ GZIP = b"\x1f\x8b"
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the body: the content, unpacked if it is gzip, or null where that fails."""
     for batch in batches:
-        bodies = []
-        for content in batch.column(batch.schema.get_field_index("content")).to_pylist():
+        bodies, contents = [], batch.column(batch.schema.get_field_index("content")).to_pylist()
+        for content in contents:
             try:
                 bodies.append(gzip.decompress(content) if content[:2] == GZIP else content)
             except (OSError, EOFError, zlib.error):
                 bodies.append(None)
-        heads = [c[:2] == GZIP for c in batch.column(batch.schema.get_field_index("content")).to_pylist()]
+        heads = [c[:2] == GZIP for c in contents]
         columns = [batch.column(i) for i in range(batch.num_columns - 1)]
         names = batch.schema.names[:-1]
         yield pa.RecordBatch.from_arrays(
