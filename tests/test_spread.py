@@ -5,7 +5,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from smeltery.functions.coerce import clean_str, float_of_text, int_of_text
+from smeltery.functions.coerce import INT_TEXT, clean_str, float_of_text, int_of_text
+from smeltery.operators.plain import plain_records
 from smeltery.operators.validate import quarantined_records
 from smeltery.plans import silver_run
 from smeltery.sources.bronze import land, read_pages
@@ -77,3 +78,10 @@ def test_quarantine_reads_only_pages_with_bad_records(spark, tmp_path, monkeypat
     silver_run.run_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), None, ["pitstops"])
     assert seen == [1]
     assert spark.read.parquet(str(tmp_path / "s" / "_quarantine")).count() == 1
+
+
+def test_every_text_is_typed_once():
+    sql = plain_records("items", DATASETS["pitstops"])
+    whole = [f for f in DATASETS["pitstops"].model.fields if f.kind == "int"]
+    inherited = [f for f in DATASETS["pitstops"].inherited if f.kind == "int"]
+    assert whole and sql.count(INT_TEXT) == len(whole) + len(inherited)
