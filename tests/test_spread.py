@@ -12,6 +12,7 @@ from smeltery.plans import silver_run
 from smeltery.sources.bronze import land, read_pages
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import read_silver, write_silver
+from smeltery.streaming import intake
 
 
 def _writers(base: Path) -> list[str]:
@@ -85,3 +86,15 @@ def test_every_text_is_typed_once():
     whole = [f for f in DATASETS["pitstops"].model.fields if f.kind == "int"]
     inherited = [f for f in DATASETS["pitstops"].inherited if f.kind == "int"]
     assert whole and sql.count(INT_TEXT) == len(whole) + len(inherited)
+
+
+def test_a_stream_unpacks_only_pages_with_bad_records(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(intake, "quarantined_records", lambda judged: seen.append(judged.count()) or quarantined_records(judged))
+    good, bad = ({"driverId": "d", "lap": "1", "stop": stop, "time": "15:02:11", "duration": "2.5"} for stop in ("1", "x"))
+    races = [json.dumps({"MRData": {"RaceTable": {"Races": [{"season": "2024", "round": "1", "PitStops": r}]}}}) for r in ([good] * 9, [good] * 9 + [bad])]
+    pages = spark.createDataFrame([(2024, 1, "b1", i, "d", t) for i, t in enumerate(races)], "_p_season int, _p_round int, batch_id string, page int, _file_path string, value string")
+    intake.refine_into(str(tmp_path / "s"), str(tmp_path / "a"), DATASETS["pitstops"])(pages, 0)
+    assert seen == [1]
+    assert spark.read.parquet(str(tmp_path / "a" / "quarantine")).count() == 1
+    assert intake.read_progress(spark, str(tmp_path / "a")).first()["records"] == 19
