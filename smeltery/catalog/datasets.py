@@ -16,6 +16,11 @@ from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import LINEAGE, silver_rows
 
 ORDERS_PER_PAGE = 4000
+# Orders whose pages one task builds, some 64 MB of text; from this many such tasks on orders are dealt before they
+# become text, of which they are a small part.
+ORDERS_PER_TASK, MANY_TASKS = 100_000, 16
+# Datasets whose pages are built from joined orders.
+OF_ORDERS = ("results", "qualifying", "sprint", "driverstandings", "constructorstandings")
 
 
 def words(column: str) -> Column:
@@ -82,18 +87,28 @@ _CLOCK = """CASE WHEN {0} // 60000 >= 0 THEN ({0} // 60000) || ':' || lpad(({0}
     || '.' || lpad(({0} % 1000)::VARCHAR, 3, '0') END"""
 
 
+def page_tasks(t: Tables) -> int:
+    """How many tasks joined orders are dealt to by ranges of season, round and page; 0 if they are few."""
+    tasks = t.orders.count() // ORDERS_PER_TASK + 1
+    return tasks if tasks >= MANY_TASKS else 0
+
+
 def _orders(t: Tables) -> DataFrame:
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return joined.withColumns(
+    keyed = joined.withColumns(
         {
             "season": F.year("o_orderdate"),
             "round": F.month("o_orderdate"),
             "page": (F.col("o_orderkey") / ORDERS_PER_PAGE).cast("int"),
-            "ms": F.col("o_orderkey") * 7 + 60000,
         }
     )
+    if tasks := page_tasks(t):
+        # A page's orders are in one task then: no record is shuffled as text, and a task has neighbouring folders.
+        usual = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+        keyed = keyed.repartitionByRange(max(tasks, usual), "season", "round", "page")
+    return keyed.withColumn("ms", F.col("o_orderkey") * 7 + 60000)
 
 
 def _silver(pages: DataFrame, name: str) -> DataFrame:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from smeltery.catalog.datasets import (
     _ORDER_LINES,
+    OF_ORDERS,
     circuits_pages,
     constructors_pages,
     drivers_pages,
     laps_pages,
+    page_tasks,
     pitstops_pages,
     qualifying_pages,
     races_pages,
@@ -24,10 +26,10 @@ from smeltery.plans import gold
 from smeltery.plans.gold_run import build_gold
 from smeltery.plans.side_by_side import side_by_side
 from smeltery.plans.silver_run import run_silver
-from smeltery.session import scratch_path
+from smeltery.session import scratch_path, shuffles_freed
 from smeltery.sources.bronze import envelope, land
 from smeltery.sources.registry import DATASETS
-from smeltery.sources.tables import written
+from smeltery.sources.tables import remove, written
 
 # --- history ---
 
@@ -404,17 +406,29 @@ def preaggregate_refresh(t: Tables) -> DataFrame:
 
 
 def _refine_pages(t: Tables, silver: str, pages: dict[str, DataFrame]) -> None:
-    """Land the pages of some datasets and refine them to Silver."""
-    base = scratch_path(t.spark, "bronze")
+    """Land the pages of some datasets and refine them to Silver; what was landed is removed then.
 
-    def landed(name: str) -> None:
+    Datasets whose orders are dealt, being large, take turns: each fills the cluster by itself, and what one
+    lands and shuffles need not lie on disk beside what the next does. The others go side by side.
+    """
+    large = [n for n in pages if n in OF_ORDERS] if page_tasks(t) else []
+
+    def landed(name: str, base: str) -> None:
         place = [F.col(c) for c in ("_p_season", "_p_round", "batch_id", "page")]
         value = envelope(F.lit(name), *place, F.lit(INGESTED), F.lit(None), F.col("value"))
         keyed = pages[name].withColumn("value", value).withColumnsRenamed({"_p_season": "season", "_p_round": "round"})
-        land(keyed, base, DATASETS[name])
-
-    side_by_side(t.spark, {name: lambda name=name: landed(name) for name in pages})
-    run_silver(t.spark, base, silver, None, list(pages))
+        land(keyed, base, DATASETS[name], dealt=name in large)
+
+    def refined(names: list[str]) -> None:
+        base = scratch_path(t.spark, "bronze")
+        with shuffles_freed(t.spark):
+            side_by_side(t.spark, {name: lambda name=name: landed(name, base) for name in names})
+        run_silver(t.spark, base, silver, None, names)
+        remove(t.spark, base)
+
+    for names in [*([n] for n in large), [n for n in pages if n not in large]]:
+        if names:
+            refined(names)
 
 
 _KEPT = """(SELECT year(o_orderdate) AS season, month(o_orderdate) AS round, 'c' || c_nationkey AS constructor_id,

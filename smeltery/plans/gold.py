@@ -271,11 +271,15 @@ def standings_mismatches(computed: DataFrame, published: DataFrame, entity: str
 # --- layout and refresh ---
 
 
-def write_fact(fact: DataFrame, path: str, order: list[str]) -> None:
-    """Partition by season and round, sorted inside for tight row-group statistics."""
+def write_fact(fact: DataFrame, path: str, order: list[str], gathered: bool = False) -> None:
+    """Partition by season and round, sorted inside for tight row-group statistics.
+
+    A fact made from rows that are ``gathered`` by season and round is written by the tasks that have it.
+    """
     keys = ["season", "round"]
-    frame = fact.hint("rebalance", *keys).sortWithinPartitions(*keys, *order)
-    writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    frame = (fact if gathered else fact.hint("rebalance", *keys)).sortWithinPartitions(*keys, *order)
+    # Most of a fact are surrogate keys in hexadecimal digits, which this packs to half.
+    writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     writer.partitionBy(*keys).parquet(path)
 
 

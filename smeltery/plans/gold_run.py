@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from smeltery.functions.coerce import null_if_blank
 from smeltery.plans import gold
 from smeltery.plans.side_by_side import AT_ONCE, side_by_side
+from smeltery.session import shuffles_freed
 from smeltery.sources.bronze import dataset_path
 from smeltery.sources.registry import DATASETS
 from smeltery.sources.silver import read_silver
@@ -54,7 +55,7 @@ def _stored(frame: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> Da
 
 
 def _fact(frame: DataFrame, path: str, name: str) -> DataFrame:
-    gold.write_fact(frame, path, _ORDER[name])
+    gold.write_fact(frame, path, _ORDER[name], gathered=True)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -87,6 +88,13 @@ def build_gold(
     other are built side by side: first those from Silver alone, then the race results, whose look-ups
     are then tables of known size, then what is summed up from facts.
     """
+    with shuffles_freed(spark):
+        return _built(spark, silver, target, tables, at_once)
+
+
+def _built(
+    spark: SparkSession, silver: str, target: str, tables: Iterable[str] | None, at_once: int
+) -> dict[str, DataFrame]:
     can = buildable(spark, silver)
     wanted = list(tables or can)
     missing = [t for t in wanted if t not in can]
@@ -104,6 +112,10 @@ def build_gold(
     def of(name: str) -> DataFrame:
         return read_silver(spark, silver, DATASETS[name])
 
+    def gathered(name: str) -> DataFrame:
+        """Rows gathered as their fact will lie: without its surrogate keys, which are most of it."""
+        return of(name).hint("rebalance", "season", "round")
+
     def path(name: str) -> str:
         return f"{target}/{name}"
 
@@ -125,16 +137,16 @@ def build_gold(
         "dim_constructors": lambda: _stored(constructors(), path("dim_constructors")),
         "dim_circuits": lambda: _stored(gold.dim_circuits(gold.circuit_snapshots(of("circuits")), "season", _decade()), path("dim_circuits")),
         "fact_qualifying_results": lambda: _fact(
-            gold.fact_qualifying_results(of("qualifying")), path("fact_qualifying_results"), "fact_qualifying_results"
+            gold.fact_qualifying_results(gathered("qualifying")), path("fact_qualifying_results"), "fact_qualifying_results"
         ),
-        "fact_lap_times": lambda: _fact(gold.fact_lap_times(of("laps")), path("fact_lap_times"), "fact_lap_times"),
-        "fact_pit_stops": lambda: _fact(gold.fact_pit_stops(of("pitstops")), path("fact_pit_stops"), "fact_pit_stops"),
-        "fact_sprint_results": lambda: _fact(sprint_results(of("sprint")), path("fact_sprint_results"), "fact_sprint_results"),
+        "fact_lap_times": lambda: _fact(gold.fact_lap_times(gathered("laps")), path("fact_lap_times"), "fact_lap_times"),
+        "fact_pit_stops": lambda: _fact(gold.fact_pit_stops(gathered("pitstops")), path("fact_pit_stops"), "fact_pit_stops"),
+        "fact_sprint_results": lambda: _fact(sprint_results(gathered("sprint")), path("fact_sprint_results"), "fact_sprint_results"),
     }
     done = side_by_side(spark, {n: job for n, job in first.items() if n in names}, at_once)
     if "fact_race_results" not in names:
         return done
-    fact = gold.fact_race_results(of("results"), done["dim_races"], done["dim_status"])
+    fact = gold.fact_race_results(gathered("results"), done["dim_races"], done["dim_status"])
     done["fact_race_results"] = facts = _fact(fact, path("fact_race_results"), "fact_race_results")
     sprints = done.get("fact_sprint_results")
     qualifying = done.get("fact_qualifying_results")

@@ -6,7 +6,9 @@ unpacked, only among complete batches, and a partition without one keeps what Si
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -23,7 +25,7 @@ from smeltery.operators.validate import (
     quarantined_records,
 )
 from smeltery.plans.side_by_side import AT_ONCE, side_by_side
-from smeltery.session import scratch_path
+from smeltery.session import scratch_path, shuffles_freed
 from smeltery.sources.bronze import dataset_path, read_pages
 from smeltery.sources.commits import commit, commits, next_number, read_commits
 from smeltery.sources.models import Dataset
@@ -38,6 +40,8 @@ NO_SEASON = "none"
 # Bytes of page text whose records one task deduplicates, which is done by sorting; from this many such tasks on
 # rows are dealt by ranges, which takes reading them twice.
 BYTES_PER_TASK, MANY_TASKS = 64 << 20, 16
+# Datasets with many such tasks take turns: each fills the cluster by itself, and what is dealt lies on disk.
+_TURN = threading.Lock()
 
 
 class PagesRejectedError(RuntimeError):
@@ -209,7 +213,8 @@ def _refined(
         if not dedupe:
             return write_silver(found, silver, spec, seen=put)
         size = read.get["bytes_read"]
-        return write_silver(newest_records(found, spec, size), silver, spec, seen=put, dealt=many(size))
+        with _TURN if many(size) else nullcontext():
+            return write_silver(newest_records(found, spec, size), silver, spec, seen=put, dealt=many(size))
 
     def audit(frame: DataFrame, name: str) -> None:
         season = F.coalesce(F.col("_p_season").cast("string"), F.lit(NO_SEASON)).alias("season")
@@ -299,7 +304,8 @@ def _all_refined(
         return _refined(spark, pages, silver, spec, threshold, True, keep_batches, by_season)
 
     chosen = [DATASETS[e] if isinstance(e, str) else e for e in datasets or DATASETS]
-    return side_by_side(spark, {spec.name: lambda spec=spec: refined(spec) for spec in chosen}, at_once)
+    with shuffles_freed(spark):
+        return side_by_side(spark, {spec.name: lambda spec=spec: refined(spec) for spec in chosen}, at_once)
 
 
 def _note(spark: SparkSession, silver: str, season: int | None, run: SilverRun) -> None:
